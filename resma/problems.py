@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resma.operators import rejects, timestamps
+from resma.operators import drift, rejects, timestamps
+from resma.plans.cut import cut
 from resma.sources.tables import table
 
 
@@ -23,6 +24,26 @@ def p2_loaded(spark: SparkSession, folder: str) -> DataFrame:
     return rejects.loaded_records(table(spark, folder, "dataset_records"))
 
 
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Every change of a record or sidecar layout at the file where it happens."""
+    files = table(spark, folder, "datasets").select("dataset_id", "input_path", "metadata_json", "record_count")
+    order = cut(drift.file_order(files))
+    records = drift.record_drift(rejects.loaded_records(_lines(spark, folder)), order)
+    sidecars = drift.sidecar_drift(files, order)
+    both = records.withColumn("scope", F.lit("record")).unionByName(sidecars.withColumn("scope", F.lit("sidecar")))
+    return both.select(F.col("file").alias("dataset_id"), "scope", "drift", "old_field", "new_field")
+
+
+def p3_records(spark: SparkSession, folder: str) -> DataFrame:
+    """All records that load as one table: fields of every layout under one name and type."""
+    order = drift.file_order(table(spark, folder, "datasets").select("dataset_id", "input_path"))
+    loaded = rejects.loaded_records(_lines(spark, folder))
+    schemas = cut(drift.file_schemas(drift.header_counts(loaded, "dataset_id", "raw_json")))
+    changes = cut(drift.file_changes(schemas, order))
+    renames = drift.best_renames(drift.scored_renames(loaded, drift.rename_candidates(changes), "dataset_id", "raw_json", "process_number"))
+    return drift.unified(loaded, ["record_id", "dataset_id"], "raw_json", *drift.union_schema(schemas, renames))
+
+
 def p6_values(spark: SparkSession, folder: str) -> DataFrame:
     """Every stated time: table_name, row_id, field, value_in, value_out (null where the text
     states no existing moment) and canonical."""
@@ -50,4 +71,4 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return p6_values(spark, folder).where(~F.col("canonical") & F.col("value_out").isNotNull()).select("table_name", "row_id", "field", "value_out")
 
 
-QUERIES = {"p2_found": p2_found, "p2_loaded": p2_loaded, "p6_found": p6_found, "p6_values": p6_values}
+QUERIES = {"p2_found": p2_found, "p2_loaded": p2_loaded, "p3_found": p3_found, "p3_records": p3_records, "p6_found": p6_found, "p6_values": p6_values}
