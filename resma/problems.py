@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resma.operators import drift, rejects, timestamps
+from resma.operators import drift, rejects, shred, timestamps
 from resma.plans.cut import cut
 from resma.sources.tables import table
 
@@ -44,6 +46,27 @@ def p3_records(spark: SparkSession, folder: str) -> DataFrame:
     return drift.unified(loaded, ["record_id", "dataset_id"], "raw_json", *drift.union_schema(schemas, renames))
 
 
+NESTED = ["arquivos", "avisos", "datajud_subjects", "orgao_julgador"]
+
+
+def p4_adjacency(spark: SparkSession, folder: str) -> DataFrame:
+    """Node, parent, label, ordinal and scalar of the nested fields of all records that load."""
+    return shred.adjacency(rejects.loaded_records(_lines(spark, folder)), NESTED, encoded=("arquivos",), whole=("orgao_julgador",))
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return shred.nodes(p4_adjacency(spark, folder)).select("record_id", "parent_path", "node_path")
+
+
+def _entity(entity: str) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        adjacent = cut(p4_adjacency(spark, folder))
+        return shred.entity_table(adjacent, entity, shred.entity_labels(adjacent, entity))
+
+    query.__doc__ = f"The flat table of the nodes {entity}."
+    return query
+
+
 def p6_values(spark: SparkSession, folder: str) -> DataFrame:
     """Every stated time: table_name, row_id, field, value_in, value_out (null where the text
     states no existing moment) and canonical."""
@@ -71,4 +94,7 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return p6_values(spark, folder).where(~F.col("canonical") & F.col("value_out").isNotNull()).select("table_name", "row_id", "field", "value_out")
 
 
-QUERIES = {"p2_found": p2_found, "p2_loaded": p2_loaded, "p3_found": p3_found, "p3_records": p3_records, "p6_found": p6_found, "p6_values": p6_values}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p2_found": p2_found, "p2_loaded": p2_loaded, "p3_found": p3_found, "p3_records": p3_records, "p4_found": p4_found, "p4_adjacency": p4_adjacency, "p4_files": _entity("arquivos.itens[]"), "p4_parts": _entity("arquivos.itens[].partes[]"), "p4_notices": _entity("avisos[]"), "p4_subjects": _entity("datajud_subjects[]"), "p4_courts": _entity("orgao_julgador"),
+    "p6_found": p6_found, "p6_values": p6_values,
+}
