@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resma.llm import mixing, packing, tokens
+from resma.llm import areas, mixing, packing, tokens
 from resma.sources.tables import table
 
 
@@ -37,6 +37,24 @@ def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
     return _mixed(spark, folder)[1]
 
 
+def _assigned(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "n_chars")
+    labels = table(spark, folder, "subject_labels").select("doc_id", "area")
+    rules = areas.mine(areas.labelled_sample(docs, labels))
+    return areas.assign(docs, rules, keep=("n_chars",))
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The areas of every document."""
+    return _assigned(spark, folder).select("doc_id", "area")
+
+
+def p9_composition(spark: SparkSession, folder: str) -> DataFrame:
+    """The corpus by area."""
+    return areas.composition(_assigned(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p7_packed": p7_packed, "p7_fills": p7_fills, "p8_mixed": p8_mixed, "p8_shares": p8_shares,
+    "p9_found": p9_found, "p9_composition": p9_composition,
 }
