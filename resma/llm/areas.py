@@ -25,13 +25,19 @@ from pyspark.sql import functions as F
 from resma.plans.cut import cut
 
 #: Most labelled documents the rules are mined from (those first by a hash of their id).
-MAX_LABELLED = 4000
+MAX_LABELLED = 5000
 #: Fewest documents a word must lean to an area in, and least share of its documents.
 MIN_DOCUMENTS = 4
 MIN_LEAN = 0.4
+#: Standard errors by which a word's share of an area must stand out from chance.
+STANDS_OUT = 2.5
 #: Most words of a transaction, the most leaning first.
 MAX_ITEMS = 6
 MIN_CONFIDENCE = 0.55
+#: Least part of the strongest area's weight in a sentence at which another area counts there.
+BESIDE = 0.4
+#: Least smoothed share at which a rule speaks for its area.
+MIN_SURE = 0.75
 MOST_AREAS = 3
 REST = "procedure"
 
@@ -61,6 +67,14 @@ def items_of(sentence: str) -> set[str]:
     return found
 
 
+def lower_bound(k: float, n: float, z: float = STANDS_OUT) -> float:
+    """The least share that k of n speak for at z standard errors (Wilson)."""
+    if n <= 0:
+        return 0.0
+    p, zz = k / n, z * z / n
+    return (p + zz / 2 - z * math.sqrt(max(0.0, p * (1 - p) / n + zz / (4 * n)))) / (1 + zz)
+
+
 @dataclass
 class Rules:
     """Area rules and foreign rules: sets of words and what they tell."""
@@ -117,18 +131,19 @@ class Matcher:
         for words in self.found(text).values():
             if any(k <= words for w in words if w in self.foreign for k in self.foreign[w]):
                 continue
-            best: dict[str, float] = {}
+            told: dict[str, list[float]] = defaultdict(list)
             for w in words:
                 for area, weight in self.single.get(w, ()):
-                    if weight > best.get(area, 0):
-                        best[area] = weight
-                for k, told in self.several.get(w, ()):
+                    told[area].append(weight)
+                for k, rules in self.several.get(w, ()):
                     if k <= words:
-                        for area, weight in told:
-                            if weight > best.get(area, 0):
-                                best[area] = weight
-            for area, weight in best.items():
-                total[area] += weight
+                        for area, weight in rules:
+                            told[area].append(weight)
+            most = max((sum(v) for v in told.values()), default=0.0)
+            for area, v in told.items():
+                # a word or two beside the many of another area are ambiguous words
+                if sum(v) >= BESIDE * most:
+                    total[area] += max(v)
         return total
 
 
@@ -161,8 +176,8 @@ def leaning_items(counts: DataFrame, least: int = MIN_DOCUMENTS, lean: float = M
     all_docs = counts.where(F.col("area") == "").select("item", F.col("n").alias("docs")).where(F.col("docs") >= least)
     own = counts.where(~F.col("area").isin("", REST)).groupBy("item").agg(F.max(F.struct("n", "area")).alias("best"))
     share = (F.col("best.n") + 0.5) / (F.col("docs") + 1)
-    rows = all_docs.join(own, "item").withColumn("share", share).where((F.col("share") >= lean) & (F.col("best.n") >= least)).select("item", "best.area", "share").collect()
-    found = {r["item"]: (r["area"], r["share"]) for r in rows}
+    rows = all_docs.join(own, "item").withColumn("share", share).where((F.col("share") >= lean) & (F.col("best.n") >= least)).select("item", "best.area", "share", "best.n", "docs").collect()
+    found = {r["item"]: (r["area"], r["share"]) for r in rows if lower_bound(r["n"], r["docs"]) >= lean}
     # a pair that says no more than one of its words is redundant
     return {i: v for i, v in found.items() if " " not in i or not any(w in found and found[w][1] >= v[1] - 0.02 for w in i.split(" "))}
 
@@ -230,8 +245,25 @@ def weight(p: float) -> float:
     return math.log(p / (1 - p))
 
 
-def mine(sample: DataFrame, least: int = MIN_DOCUMENTS, confidence: float = MIN_CONFIDENCE) -> Rules:
-    """Rules of a labelled sample, calibrated on it."""
+def relabelled(sample: DataFrame, rules: Rules) -> DataFrame:
+    """``sample`` with the areas that ``rules`` give, wrong and missing labels mended."""
+    given = assign(sample, rules).groupBy("doc_id").agg(F.collect_set("area").alias("areas"))
+    return cut(sample.drop("areas").join(given, "doc_id"))
+
+
+def mine(sample: DataFrame, rounds: int = 2) -> Rules:
+    """Rules of a labelled sample. As hand-made labels are partly wrong, the rules of a first
+    round relabel the sample for the next; the calibration holds to the labels as given."""
+    labels, rules = sample, Rules()
+    for k in range(rounds):
+        rules = mined_once(labels)
+        rules.steps, rules.probabilities = calibrate(sample, rules)
+        if k + 1 < rounds:
+            labels = relabelled(sample, rules)
+    return rules
+
+
+def mined_once(sample: DataFrame, least: int = MIN_DOCUMENTS, confidence: float = MIN_CONFIDENCE) -> Rules:
     leaning = leaning_items(item_counts(sample), least)
     context = foreign_items(sample, leaning, least=least)
     bags = cut(transactions(sample, leaning, context))
@@ -246,9 +278,8 @@ def mine(sample: DataFrame, least: int = MIN_DOCUMENTS, confidence: float = MIN_
             if c == "foreign":
                 if p >= 0.7:
                     rules.foreign.append(k)
-            elif p > 0.5:
+            elif p >= MIN_SURE:
                 rules.areas.setdefault(k, []).append((c, weight(min(p, 0.98))))
-    rules.steps, rules.probabilities = calibrate(sample, rules)
     return rules
 
 
