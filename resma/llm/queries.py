@@ -7,10 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resma.llm import areas, mixing, packing, tokens
+from resma.llm import areas, mixing, packing, pii, tokens
 from resma.sources.tables import table
 
 
+#: Key of the pseudonyms; a deployment sets its own and keeps it.
+PSEUDONYM_KEY = "resma"
+
+
+def _page_texts(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "page_cache").select("page_id", F.col("page.text").alias("text"))
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Every mention of a natural person's mail, phone, number, address or name."""
+    pages = _page_texts(spark, folder)
+    return pii.found_values(pages, pii.mine_lexicon(pages)).select("page_id", "kind", "start_pos")
+
+
+def p5_redacted(spark: SparkSession, folder: str) -> DataFrame:
+    """The page texts with placeholders for personal values."""
+    pages = _page_texts(spark, folder)
+    return pii.redact_pages(pages, pii.mine_lexicon(pages), PSEUDONYM_KEY)
+
+
 def p7_packed(spark: SparkSession, folder: str) -> DataFrame:
     """Container and place of every document's text, with the container's fill."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -55,6 +75,7 @@ def p9_composition(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p5_found": p5_found, "p5_redacted": p5_redacted,
     "p7_packed": p7_packed, "p7_fills": p7_fills, "p8_mixed": p8_mixed, "p8_shares": p8_shares,
     "p9_found": p9_found, "p9_composition": p9_composition,
 }
