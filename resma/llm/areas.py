@@ -251,15 +251,19 @@ def relabelled(sample: DataFrame, rules: Rules) -> DataFrame:
     return cut(sample.drop("areas").join(given, "doc_id"))
 
 
-def mine(sample: DataFrame, rounds: int = 2) -> Rules:
-    """Rules of a labelled sample. As hand-made labels are partly wrong, the rules of a first
-    round relabel the sample for the next; the calibration holds to the labels as given."""
-    labels, rules = sample, Rules()
-    for k in range(rounds):
-        rules = mined_once(labels)
-        rules.steps, rules.probabilities = calibrate(sample, rules)
-        if k + 1 < rounds:
-            labels = relabelled(sample, rules)
+def mine(sample: DataFrame, least: int = MIN_DOCUMENTS) -> Rules:
+    """Rules of a labelled sample. As hand-made labels are partly wrong, the sample is first
+    relabelled by the words that lean to an area; the rules are then mined from these labels,
+    and calibrated on the labels as given."""
+    leaning = leaning_items(item_counts(sample), least)
+    first = Rules()
+    for item, (area, share) in leaning.items():
+        if share >= MIN_SURE:
+            first.areas[frozenset([item])] = [(area, weight(min(share, 0.98)))]
+    first.foreign = [frozenset([i]) for i in foreign_items(sample, leaning, least=least)]
+    first.steps, first.probabilities = calibrate(sample, first)
+    rules = mined_once(relabelled(sample, first), least)
+    rules.steps, rules.probabilities = calibrate(sample, rules)
     return rules
 
 
