@@ -7,10 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resma.llm import areas, mixing, packing, pii, tokens
+from resma.llm import areas, mixing, packing, pii, scans, tokens
 from resma.sources.tables import table
 
 
+def _scans(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "page_cache").select("page_id", "source_sha256", F.col("page.page_number").alias("page_number"), F.col("page.text").alias("text"))
+
+
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Every line that is furniture, ends within a word, or holds misread words."""
+    return scans.read_pages(_scans(spark, folder), found=True)
+
+
+def p1_repaired(spark: SparkSession, folder: str) -> DataFrame:
+    """The page texts as continuous paragraphs."""
+    return scans.read_pages(_scans(spark, folder), found=False)
+
+
 #: Key of the pseudonyms; a deployment sets its own and keeps it.
 PSEUDONYM_KEY = "resma"
 
@@ -75,6 +89,7 @@ def p9_composition(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p1_found": p1_found, "p1_repaired": p1_repaired,
     "p5_found": p5_found, "p5_redacted": p5_redacted,
     "p7_packed": p7_packed, "p7_fills": p7_fills, "p8_mixed": p8_mixed, "p8_shares": p8_shares,
     "p9_found": p9_found, "p9_composition": p9_composition,
