@@ -373,6 +373,8 @@ def cpf_check(base: str) -> str:
 def permute_number(value: str, key: bytes, kind: str) -> str:
     """``value`` with its digits permuted and all else kept. A number with right CPF check
     digits becomes another with right ones."""
+    if kind == "phone" and value.startswith("+55"):
+        return "+55" + permute_number(value[3:], key, kind)  # the country is no secret
     digits = "".join(c for c in value if c.isascii() and c.isdigit())
     if len(digits) == 11 and kind == "id_number" and cpf_check(digits[:9]) == digits[9:]:
         base = feistel(digits[:9], key, kind.encode())
