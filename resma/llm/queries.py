@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from resma.llm import areas, mixing, packing, pii, scans, tokens
+from resma.plans.spread import spread
 from resma.sources.tables import table
 
 
 def _scans(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "page_cache").select("page_id", "source_sha256", F.col("page.page_number").alias("page_number"), F.col("page.text").alias("text"))
+    return spread(table(spark, folder, "page_cache").select("page_id", "source_sha256", F.col("page.page_number").alias("page_number"), F.col("page.text").alias("text")))
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -30,7 +31,7 @@ PSEUDONYM_KEY = "resma"
 
 
 def _page_texts(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "page_cache").select("page_id", F.col("page.text").alias("text"))
+    return spread(table(spark, folder, "page_cache").select("page_id", F.col("page.text").alias("text")))
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -47,7 +48,7 @@ def p5_redacted(spark: SparkSession, folder: str) -> DataFrame:
 
 def p7_packed(spark: SparkSession, folder: str) -> DataFrame:
     """Container and place of every document's text, with the container's fill."""
-    docs = table(spark, folder, "documents").select("doc_id", "text")
+    docs = spread(table(spark, folder, "documents").select("doc_id", "text"))
     return packing.pack(tokens.with_tokens(docs))
 
 
@@ -57,7 +58,7 @@ def p7_fills(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _mixed(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    docs = table(spark, folder, "documents").select("doc_id", "source", "text", F.xxhash64("text").alias("h1"), F.md5("text").alias("h2"))
+    docs = spread(table(spark, folder, "documents").select("doc_id", "source", "text", F.xxhash64("text").alias("h1"), F.md5("text").alias("h2")))
     return mixing.mix(tokens.with_tokens(docs), table(spark, folder, "source_targets"), text_hash=("h1", "h2"))
 
 
@@ -72,7 +73,7 @@ def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _assigned(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", "text", "n_chars")
+    docs = spread(table(spark, folder, "documents").select("doc_id", "text", "n_chars"))
     labels = table(spark, folder, "subject_labels").select("doc_id", "area")
     rules = areas.mine(areas.labelled_sample(docs, labels))
     return areas.assign(docs, rules, keep=("n_chars",))
