@@ -91,4 +91,4 @@ def printed_counter(x: Column, most: int = 60) -> Column:
 
 
 def percentage(x: Column, missing: str = "inconcluso") -> Column:
-    return F.coalesce(F.format_string("%.1f%%", x * 100), F.lit(missing))
+    return F.when(x.isNull(), F.lit(missing)).otherwise(F.format_string("%.1f%%", x * 100))

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from resma.operators import drift, rejects, shred, timestamps
 from resma.plans.cut import cut
+from resma.plans.spread import spread
 from resma.sources.tables import table
 
 
 def _lines(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "dataset_records").select("record_id", "dataset_id", "raw_json")
+    return spread(table(spark, folder, "dataset_records").select("record_id", "dataset_id", "raw_json"))
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
