@@ -55,3 +55,13 @@ def document_path(number: Column, retrieved: Column, sha256: Column) -> Column:
     digits = F.regexp_replace(number, "[^0-9]", "")
     time = F.regexp_replace(F.substring(retrieved, 1, 19), "[-:]", "")
     return F.concat(F.substring(digits, 10, 4), F.lit("/"), digits, F.lit("/"), number, F.lit("__"), time, F.lit("__"), F.substring(sha256, 1, 12), F.lit(".pdf"))
+
+
+def retry_wait(attempt: Column, retry_after: Column, now: Column, waits: tuple[float, ...] = (5.0, 15.0)) -> Column:
+    """Seconds until the next attempt: what a Retry-After header asks (seconds or an HTTP date,
+    in UTC), else the wait of the attempt (from 1), the last one for all further."""
+    seconds = F.when(retry_after.rlike(r"^\s*\d+\s*\z"), F.trim(retry_after).try_cast("double"))
+    moment = F.try_to_timestamp(F.substring(F.trim(retry_after), 6, 20), F.lit("dd MMM yyyy HH:mm:ss"))
+    until = F.when(moment.isNotNull(), F.greatest(F.lit(0.0), (F.unix_micros(moment) - F.unix_micros(now)) / 1e6))
+    own = F.element_at(F.array(*map(F.lit, waits)), F.least(F.greatest(attempt, F.lit(1)), F.lit(len(waits))))
+    return F.coalesce(seconds, until, own)

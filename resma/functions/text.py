@@ -92,3 +92,23 @@ def printed_counter(x: Column, most: int = 60) -> Column:
 
 def percentage(x: Column, missing: str = "inconcluso") -> Column:
     return F.when(x.isNull(), F.lit(missing)).otherwise(F.format_string("%.1f%%", x * 100))
+
+
+def long_identifier(x: Column) -> Column:
+    """Whether ``x`` is one long number with separators, such as 000.111-22."""
+    return F.coalesce(x.rlike(r"^\d[\d./-]{6,}\z"), F.lit(False))
+
+
+def disposition_name(x: Column) -> Column:
+    """The file name of a Content-Disposition header: the extended form comes first; folders
+    and control characters are dropped, at most 255 characters are kept. Null if there is none."""
+    extended = F.try_url_decode(F.nullif(F.regexp_extract(x, r"(?i)filename\*\s*=\s*utf-8''([^;]+)", 1), F.lit("")))
+    quoted = F.nullif(F.regexp_extract(x, r'(?i)filename\s*=\s*"([^"]*)"', 1), F.lit(""))
+    bare = F.nullif(F.trim(F.regexp_extract(x, r"(?i)filename\s*=\s*([^\";]+)", 1)), F.lit(""))
+    base = F.regexp_replace(F.coalesce(extended, quoted, bare), r"^.*[/\\]", "")
+    return F.nullif(F.substring(F.regexp_replace(base, r"\p{Cntrl}", ""), 1, 255), F.lit(""))
+
+
+def first_match(x: Column, patterns: dict[str, str], otherwise: str | None = None) -> Column:
+    """The name of the first pattern that ``x`` holds."""
+    return F.coalesce(*[F.when(x.rlike(p), F.lit(n)) for n, p in patterns.items()], F.lit(otherwise))

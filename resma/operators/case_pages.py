@@ -129,3 +129,12 @@ def labelled_cells(pages: DataFrame, key: str, content: str, labels: list[str],
             yield pd.DataFrame(out, columns=[key, "title", "links", *columns, "error"])
 
     return pages.select(*asked).mapInPandas(run, schema)
+
+
+def special_page(page: Page, expired: tuple[str, ...] = ("sessao expirada", "sessao encerrada"), challenge: tuple[str, ...] = ("captcha", "verificacao de seguranca", "confirme que voce e humano")) -> str | None:
+    """``expired`` or ``challenge`` if the title or the cells of a page say so; expiry comes first."""
+    title, body = plain(page.title), " ".join(plain(c) for row in page.rows for c in row)
+    for name, marks in (("expired", expired), ("challenge", challenge)):
+        if any(m in title or m in body for m in marks):
+            return name
+    return None

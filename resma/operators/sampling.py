@@ -109,3 +109,40 @@ def sampling_report(population: DataFrame, selected: DataFrame, key: str, dimens
     values = reduce(lambda m, d: [*m, F.struct(F.lit(d).alias("dimension"), F.coalesce(F.col(d).cast("string"), F.lit("null")).alias("value"))], dimensions, [])
     long = marked.select(F.explode(F.array(*values)).alias("v"), "_in")
     return long.groupBy("v.dimension", "v.value").agg(F.count("*").alias("population"), F.count("_in").alias("selected"))
+
+
+def profile_sample(df: DataFrame, key: str, groups: list[str], profiles: list[tuple[str, int]], seed: int) -> DataFrame:
+    """Rows picked profile by profile, each time preferring groups not yet seen.
+
+    ``profiles``: boolean columns with the number of rows to pick for each, in order; a row is
+    picked once. Among the rows of a profile the next one is that of the fewest groups seen
+    before, in the order of ``groups``, then of seeded rank. Before choosing, each profile is
+    cut to the first rows (as many as all picks) of each combination of groups, as no other can
+    ever be picked. Result: key, place (from 1).
+    """
+    total = sum(n for _, n in profiles)
+    flags = [p for p, _ in profiles]
+    ranked = df.select(key, *groups, *flags).withColumn("rank", seeded_rank(seed, F.col(key)))
+    can = None
+    for flag in flags:
+        nth = F.row_number().over(Window.partitionBy(*groups).orderBy("rank", key))
+        part = ranked.where(F.col(flag)).withColumn("_nth", nth).where(F.col("_nth") <= total).drop("_nth")
+        can = part if can is None else can.unionByName(part)
+
+    def choose(rows: pd.DataFrame) -> pd.DataFrame:
+        pool = rows.drop_duplicates(key).sort_values(["rank", key]).to_dict("records")
+        seen: list[set] = [set() for _ in groups]
+        out: list[object] = []
+        for flag, n in profiles:
+            for _ in range(n):
+                fit = [r for r in pool if r[flag]]
+                if not fit:
+                    break
+                best = min(fit, key=lambda r: (*[r[g] in s for g, s in zip(groups, seen)], r["rank"]))
+                pool.remove(best)
+                out.append(best[key])
+                for g, s in zip(groups, seen):
+                    s.add(best[g])
+        return pd.DataFrame({key: out, "place": range(1, len(out) + 1)})
+
+    return can.withColumn("_one", F.lit(1)).groupBy("_one").applyInPandas(choose, f"`{key}` {df.schema[key].dataType.simpleString()}, place int")

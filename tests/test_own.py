@@ -264,3 +264,45 @@ def test_streams(spark, tmp_path):
     query = streaks.writeStream.outputMode("update").foreachBatch(lambda df, n: out.update({r["u"]: (r["streak"], r["paused"]) for r in df.collect()})).option("checkpointLocation", str(tmp_path / "c2")).trigger(availableNow=True).start()
     query.awaitTermination()
     assert out == {"a": (3, True), "b": (0, False)}
+
+
+def test_further_scalars(spark):
+    for given, want in (("000.111-22", True), ("12345", False), ("1234567", True), (None, False), ("123456a", False)):
+        assert one(spark, given, "string", text.long_identifier) is want
+    for given, want in (('attachment; filename="a/b\\\\c.pdf"', "c.pdf"), ("attachment; filename*=UTF-8''peti%C3%A7%C3%A3o.pdf; filename=x.pdf", "petição.pdf"), ("attachment; filename=plain.pdf", "plain.pdf"), ("inline", None), (None, None)):
+        assert one(spark, given, "string", text.disposition_name) == want
+    assert one(spark, "banco pan", "string", lambda x: text.first_match(x, {"b": "bmg", "p": "pan"}, "generic")) == "p"
+    now = F.lit("2025-01-01 00:00:00").cast("timestamp")
+    waits = [one(spark, v, "string", lambda x: numbers.retry_wait(F.lit(2), x, now)) for v in ("7", "Wed, 01 Jan 2025 00:01:00 GMT", "Wed, 01 Jan 2020 00:01:00 GMT", "soon", None)]
+    assert waits == [7.0, 60.0, 0.0, 15.0, 15.0]
+    assert case_pages.special_page(case_pages.read_page("<title>Sessão Expirada</title>".encode())) == "expired"
+    assert case_pages.special_page(case_pages.read_page(b"<title>x</title><td>Captcha</td>")) == "challenge"
+    assert case_pages.special_page(case_pages.read_page(b"<title>x</title>")) is None
+
+
+def test_profile_sample(spark):
+    rows = [(f"k{i}", f"c{i % 4}", f"t{i % 3}", i % 5 == 0, True) for i in range(60)]
+    frame = spark.createDataFrame(rows, "k string, c string, t string, rare boolean, any boolean")
+    got = [r["k"] for r in sampling.profile_sample(frame, "k", ["c", "t"], [("rare", 3), ("any", 6)], 3).orderBy("place").collect()]
+    pool, seen, want = sorted(rows, key=lambda r: hashlib.sha256(f"3:{r[0]}".encode()).hexdigest()), (set(), set()), []
+    for flag, n in ((3, 3), (4, 6)):
+        for _ in range(n):
+            best = min((r for r in pool if r[flag]), key=lambda r: (r[1] in seen[0], r[2] in seen[1], hashlib.sha256(f"3:{r[0]}".encode()).hexdigest()))
+            pool.remove(best)
+            want.append(best[0])
+            seen[0].add(best[1])
+            seen[1].add(best[2])
+    assert got == want
+    assert got == [r["k"] for r in sampling.profile_sample(frame.repartition(5), "k", ["c", "t"], [("rare", 3), ("any", 6)], 3).orderBy("place").collect()]
+
+
+def test_spread_and_lookup(spark):
+    from resma.plans.lookup import lookup
+    from resma.plans.spread import spread
+
+    assert spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() >= 2
+    big = spark.createDataFrame([("a", i) for i in range(50)] + [(None, 1), ("z", 2)], "k string, v int")
+    dim = spark.createDataFrame([("a", "x"), ("b", "y")], "k string, w string")
+    for most in (100, 0):  # broadcast, then salted
+        got = Counter(r["w"] for r in lookup(big, dim, "k", max_rows=most).collect())
+        assert got == {"x": 50, None: 2}
