@@ -187,7 +187,9 @@ def field_content(records: DataFrame, asked: DataFrame, file: str, raw: str, cas
                 for a in asked:
                     if found := values_at(record, a["path"]):
                         value = json.dumps(found, sort_keys=True)
-                        out.append((a["pair"], a["path"], entity, key_hash(value.encode()), key_hash("|".join(map(form_of, found)).encode())))
+                        form = "|".join(map(form_of, found))
+                        # a short form tells nothing: the value itself stands for it
+                        out.append((a["pair"], a["path"], entity, key_hash(value.encode()), key_hash((form if len(form) >= 4 else value).encode())))
             cols = list(zip(*out)) or [[]] * 5
             types = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["pair", "path", "entity", "value", "form"])
@@ -197,7 +199,8 @@ def field_content(records: DataFrame, asked: DataFrame, file: str, raw: str, cas
 
 def scored_renames(records: DataFrame, candidates: DataFrame, file: str, raw: str, case: str) -> DataFrame:
     """``candidates`` with ``score``: the share of equal values over the cases both files hold
-    if there are three or more, else the overlap of the forms of all values."""
+    if there are three or more, else the overlap of the forms of all values (averaged with the
+    share of equal values if there is a shared case)."""
     old_asked = candidates.select(F.col("before").alias("file"), F.col("file").alias("pair"), F.col("old_field").alias("path"))
     new_asked = candidates.select("file", F.col("file").alias("pair"), F.col("new_field").alias("path"))
     # a path is either gone or come in one pair, so it tells the side as well
@@ -215,8 +218,8 @@ def scored_renames(records: DataFrame, candidates: DataFrame, file: str, raw: st
     alike = old_share.join(new_share, ["pair", "new_field", "form"]).groupBy("pair", "old_field", "new_field").agg(F.sum(F.least("p0", "p1")).alias("alike"))
     keys = ["pair", "old_field", "new_field"]
     scored = candidates.withColumnRenamed("file", "pair").join(shared, keys, "left").join(alike, keys, "left")
-    by_case = (F.col("shared") >= 3) & F.col("equal").isNotNull()
-    score = F.when(by_case, F.col("equal") + F.coalesce("alike", F.lit(0.0)) / 1000).otherwise(F.coalesce("alike", F.lit(0.0)))
+    alike = F.coalesce("alike", F.lit(0.0))
+    score = F.when(F.col("shared") >= 3, F.col("equal") + alike / 1000).when(F.col("shared") >= 1, (F.col("equal") + alike) / 2).otherwise(alike)
     return scored.select("pair", "before", "type", "old_field", "new_field", score.alias("score"))
 
 
