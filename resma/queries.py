@@ -39,7 +39,7 @@ _NORMAL = f"trim(regexp_replace(translate(strip_accents(lower({{x}})), 'ºª', '
 def str_normalized(spark: SparkSession, folder: str) -> DataFrame:
     """STR01-STR03: texts without marks, case and uneven white space."""
     n = text.normalized(F.col("text"))
-    return table(spark, folder, "documents").select("doc_id", n.alias("n")).select("doc_id", F.length("n").alias("size"), F.sha2("n", 256).alias("normal"))
+    return table(spark, folder, "documents").select("doc_id", n.alias("n")).select("doc_id", F.length("n").cast("long").alias("size"), F.sha2("n", 256).alias("normal"))
 
 
 @query(
@@ -56,7 +56,7 @@ def flt_replacement_characters(spark: SparkSession, folder: str) -> DataFrame:
     """FLT08: characters that could not be decoded, per page."""
     t = F.col("page.text")
     replaced = F.length(t) - F.length(F.replace(t, F.lit("�"), F.lit("")))
-    return table(spark, folder, "page_cache").select("page_id", replaced.alias("replaced")).where("replaced > 0")
+    return table(spark, folder, "page_cache").select("page_id", replaced.cast("long").alias("replaced")).where("replaced > 0")
 
 
 @query(
@@ -72,7 +72,7 @@ def str_title_words(spark: SparkSession, folder: str) -> DataFrame:
 )
 def str_token_sets(spark: SparkSession, folder: str) -> DataFrame:
     """STR09: size of each document's set of tokens."""
-    return table(spark, folder, "documents").select("doc_id", F.size(text.tokens(text.normalized(F.col("text")))).alias("n_tokens"))
+    return table(spark, folder, "documents").select("doc_id", F.size(text.tokens(text.normalized(F.col("text")))).cast("long").alias("n_tokens"))
 
 
 @query(r"""
@@ -149,7 +149,7 @@ def flt_urls(spark: SparkSession, folder: str) -> DataFrame:
 # --- samples
 
 SEED = 20260920
-_STRATA = "SELECT doc_id, lang, source, to_json([lang, source]) AS stratum FROM documents"
+_STRATA = "SELECT doc_id, lang, source, CAST(to_json([lang, source]) AS VARCHAR) AS stratum FROM documents"
 _QUOTAS = f"""
 strata AS (SELECT stratum, count(*) AS size FROM d GROUP BY stratum), t AS (SELECT count(*) AS k, sum(size) AS rows FROM strata),
 shares AS (SELECT stratum, size, least(100, rows) - k AS seats, CASE WHEN rows > k THEN CAST((least(100, rows) - k) * (size - 1) AS BIGINT) // CAST(rows - k AS BIGINT) ELSE 0 END AS share,
@@ -272,8 +272,8 @@ def agg_status(spark: SparkSession, folder: str) -> DataFrame:
     return catalog.status_counts(table(spark, folder, "scrape_results"), "status")
 
 
-@query("""SELECT process_number, count(*) AS runs, count(DISTINCT run_id) AS distinct_runs, coalesce(sum(size_bytes), 0) AS bytes, coalesce(sum(page_count), 0) AS pages, max(size_bytes) AS largest,
-CASE WHEN count(page_count) = count(*) THEN sum(page_count) END AS pages_if_all FROM scrape_results GROUP BY process_number""")
+@query("""SELECT process_number, count(*) AS runs, count(DISTINCT run_id) AS distinct_runs, CAST(coalesce(sum(size_bytes), 0) AS BIGINT) AS bytes, CAST(coalesce(sum(page_count), 0) AS BIGINT) AS pages, max(size_bytes) AS largest,
+CASE WHEN count(page_count) = count(*) THEN CAST(sum(page_count) AS BIGINT) END AS pages_if_all FROM scrape_results GROUP BY process_number""")
 def agg_runs(spark: SparkSession, folder: str) -> DataFrame:
     """AG02, AG03, AG13, JN03: sums over the runs of each process."""
     zero = lambda c: F.coalesce(F.sum(c), F.lit(0))
