@@ -87,7 +87,7 @@ TITLE = r"(?:Sr|Sra|Srta|Dr|Dra|Doutora?|Senhora?|Dona|Seu|Prof|Profa|Professora
 # Words after which a person's name follows, as they begin and as they go on.
 NAME_KEYS = ["Nome", "NOME", "Titular", "Testemunha", "Sr", "Dr", "Dout", "Senhor", "Dona ", "Seu ", "Prof", "_ ", "_\n", "Intime", "nome", "filho", "filha", "titularidade", "assina", "deixado", "procurar", "poderes", "devidos", "procurador", "advogad", "depoimento", "balcão"]
 NAME_BEFORE = (
-    rf"Nome(?:{GAP}completo)?{GAP}?[:-]?{GAP}|NOME(?:{GAP}COMPLETO)?:?{GAP}|Titular{GAP}?[:-]{GAP}|Testemunhas?{GAP}?:{GAP}|(?<![\w.]){TITLE}\.?(?:\([aA]\)\.?)?{GAP}|(?<=_)_{GAP}|"
+    rf"Nome(?:{GAP}completo)?{GAP}?[:-]?{GAP}|NOME(?:{GAP}COMPLETO)?:?{GAP}|Titular{GAP}?[:-]{GAP}|Testemunhas?{GAP}?:{GAP}|(?<![\w.]){TITLE}\.?(?:\([aA]\)\.?)?{GAP}|(?<=____)_{GAP}|"
     rf"Intimem?-se{GAP}|nome{GAP}de{GAP}|filh[oa]{GAP}de{GAP}|titularidade{GAP}de{GAP}|assina{GAP}é{GAP}|deixado{GAP}por{GAP}|procurar{GAP}|poderes{GAP}a{GAP}|devidos{GAP}fins{GAP}que{GAP}|(?:procurador|advogad[oa]|procuradora|depoimento{GAP}de),?{GAP}|balcão,{GAP}"
 )
 BEFORE = re.compile(rf"(?:{NAME_BEFORE})({SEQUENCE})")
