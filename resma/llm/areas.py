@@ -41,8 +41,10 @@ MIN_SURE = 0.75
 MOST_AREAS = 3
 REST = "procedure"
 
-WORD = re.compile(r"[^\W\d_]+")
+#: What parts words so that they are no pair: all but letters and single spaces.
+APART = re.compile(r"(?:[^\w ]|[\d_])+|  +")
 SENTENCE_END = re.compile(r"[.;!?]\s|\n")
+ENDS = (". ", "; ", "! ", "? ", "\n")
 
 
 def sentences(text: str) -> list[str]:
@@ -57,13 +59,10 @@ def sentences(text: str) -> list[str]:
 def items_of(sentence: str) -> set[str]:
     """The words of a sentence and the pairs of words with one space between them."""
     found: set[str] = set()
-    last, last_end = "", -2
-    for m in WORD.finditer(sentence.lower()):
-        word = m.group()
-        found.add(word)
-        if m.start() == last_end + 1 and sentence[last_end] == " ":
-            found.add(f"{last} {word}")
-        last, last_end = word, m.end()
+    for part in APART.sub("|", sentence.lower()).split("|"):
+        words = part.split()
+        found.update(words)
+        found.update(map(" ".join, zip(words, words[1:])))
     return found
 
 
@@ -105,30 +104,32 @@ class Matcher:
         for k in rules.foreign:
             self.foreign[min(k)].append(k)
         words = {w for k in [*rules.areas, *rules.foreign] for w in k}
+        # ends of sentences are found in the same pass as the words
         self.automaton = ahocorasick.Automaton()
         for w in words:
-            self.automaton.add_word(w, w)
-        if words:
-            self.automaton.make_automaton()
-        self.any = bool(words)
-
-    def found(self, text: str) -> dict[int, set[str]]:
-        """Sentence number to the words of rules in it."""
-        low = text.lower()
-        if not self.any:
-            return {}
-        ends = [m.end() for m in SENTENCE_END.finditer(low)]
-        out: dict[int, set[str]] = {}
-        n = len(low)
-        for end, w in self.automaton.iter(low):
-            start = end - len(w)
-            if (start < 0 or not low[start].isalpha()) and (end + 1 >= n or not low[end + 1].isalpha()):
-                out.setdefault(bisect.bisect_right(ends, end), set()).add(w)
+            self.automaton.add_word(w, (len(w), w))
+        for end in ENDS:
+            self.automaton.add_word(end, (0, end))
+        self.automaton.make_automaton()
+
+    def found(self, text: str) -> list[set[str]]:
+        """The words of rules in each sentence that has any."""
+        low = f" {text.lower()} "
+        out: list[set[str]] = []
+        sentence: set[str] | None = None
+        for at, (size, word) in self.automaton.iter(low):
+            if not size:
+                sentence = None
+            elif not low[at - size].isalpha() and not low[at + 1].isalpha():
+                if sentence is None:
+                    sentence = set()
+                    out.append(sentence)
+                sentence.add(word)
         return out
 
     def evidence(self, text: str) -> dict[str, float]:
         total: dict[str, float] = defaultdict(float)
-        for words in self.found(text).values():
+        for words in self.found(text):
             if any(k <= words for w in words if w in self.foreign for k in self.foreign[w]):
                 continue
             told: dict[str, list[float]] = defaultdict(list)
@@ -260,16 +261,18 @@ def mine(sample: DataFrame, least: int = MIN_DOCUMENTS) -> Rules:
     for item, (area, share) in leaning.items():
         if share >= MIN_SURE:
             first.areas[frozenset([item])] = [(area, weight(min(share, 0.98)))]
-    first.foreign = [frozenset([i]) for i in foreign_items(sample, leaning, least=least)]
+    context = foreign_items(sample, leaning, least=least)
+    first.foreign = [frozenset([i]) for i in context]
     first.steps, first.probabilities = calibrate(sample, first)
-    rules = mined_once(relabelled(sample, first), least)
+    rules = mined_once(relabelled(sample, first), context, least)
     rules.steps, rules.probabilities = calibrate(sample, rules)
     return rules
 
 
-def mined_once(sample: DataFrame, least: int = MIN_DOCUMENTS, confidence: float = MIN_CONFIDENCE) -> Rules:
+def mined_once(sample: DataFrame, context: set[str], least: int = MIN_DOCUMENTS, confidence: float = MIN_CONFIDENCE) -> Rules:
+    """Area and foreign rules of a sample; ``context``: words of foreign contexts."""
     leaning = leaning_items(item_counts(sample), least)
-    context = foreign_items(sample, leaning, least=least)
+    context = context - leaning.keys()
     bags = cut(transactions(sample, leaning, context))
     n = bags.count()
     rules = Rules()
