@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from resma.functions import geometry, numbers, text
-from resma.operators import case_pages, catalog, evaluation, layout, sampling, sequences
+from resma.operators import case_pages, catalog, copies, evaluation, layout, sampling, sequences
 from resma.sources import jsonl
 from resma.sources.tables import table
 
@@ -476,12 +476,19 @@ def dup_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("SELECT doc_id, min(doc_id) OVER (PARTITION BY sha256(text)) AS class_id FROM documents WHERE text IS NOT NULL")
 def dup_classes(spark: SparkSession, folder: str) -> DataFrame:
-    """JN17 (equal texts): the class of each document; classes are aggregated before they are
+    """Equal texts: the class of each document; classes are aggregated before they are
     joined back, so copies are never paired."""
     docs = table(spark, folder, "documents").where("text IS NOT NULL").select("doc_id", F.sha2("text", 256).alias("h"))
     return docs.join(docs.groupBy("h").agg(F.min("doc_id").alias("class_id")), "h").select("doc_id", "class_id")
 
 
+@query()
+def dup_near_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """JN17: the class of each document by equal texts or a Jaccard index of words of 0.55; held
+    against brute force in the tests."""
+    return copies.near_classes(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def _occurrences(spark: SparkSession, folder: str, method: str | None) -> DataFrame:
     pages = table(spark, folder, "page_cache").select("source_sha256", F.col("page.page_number").alias("n"), F.col("page.text_method").alias("m")).where("n IS NOT NULL")
     runs = sequences.islands(pages if method is None else pages.where(F.col("m") == method), ["source_sha256"], "n")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from resma import queries
 from resma.functions import geometry, numbers, text
-from resma.operators import case_pages, catalog, evaluation, layout, sampling, sequences
+from resma.operators import case_pages, catalog, copies, evaluation, layout, sampling, sequences
 from resma.sources import jsonl
 from resma.streaming import batches
 
@@ -306,3 +306,57 @@ def test_spread_and_lookup(spark):
     for most in (100, 0):  # broadcast, then salted
         got = Counter(r["w"] for r in lookup(big, dim, "k", max_rows=most).collect())
         assert got == {"x": 50, None: 2}
+
+
+def near(rows):
+    """Serial statement of the classes of near copies."""
+    import re
+
+    firsts, known, out = {}, [], {}
+    for k, t in sorted((r for r in rows if r[1] is not None), key=lambda r: r[0]):
+        if t not in firsts:
+            words = set(re.findall(r"[a-z]{4,}|\d{5,}", t))
+            firsts[t] = next((old for old, w in known if len(w & words) / max(1, len(w | words)) >= 0.55), k)
+            if firsts[t] == k:
+                known.append((k, words))
+        out[k] = firsts[t]
+    return out
+
+
+@pytest.mark.parametrize("side", [20, 2_000_000])
+def test_near_classes(spark, side):
+    import random
+
+    r = random.Random(5)
+    names = [f"palavra{chr(97 + i)}{chr(97 + j)}" for i in range(6) for j in range(6)]
+    rows = [(k, " ".join(r.sample(names[12 * (k % 3) : 12 * (k % 3) + 14], r.randint(4, 12)))) for k in range(120)]
+    # a chain: the second is like the first, the third only like the second, the fourth like the third
+    long = [f"corrente{chr(97 + i)}" for i in range(20)]
+    rows += [(200 + i, " ".join(long[3 * i : 3 * i + 11])) for i in range(4)]
+    # exactly 11 of 20, and one less
+    rows += [(300, " ".join(long[:11])), (301, " ".join(long)), (302, " ".join(long[10:])), (310, rows[3][1]), (311, "a b"), (312, "a b"), (313, ""), (314, None), (315, "c d")]
+    frame = spark.createDataFrame(r.sample(rows, len(rows)), "doc_id long, text string")
+    got = {x["doc_id"]: x["class_id"] for x in copies.near_classes(frame, side=side).collect()}
+    want = near(rows)
+    assert got == want
+    assert (want[201], want[202], want[203]) == (200, 202, 202)
+    assert any(k != c and dict(rows)[k] != dict(rows)[c] for k, c in got.items())
+
+
+def test_overlapping(monkeypatch):
+    import random
+
+    import numpy as np
+
+    monkeypatch.setattr(copies, "BLOCK", 3)
+    monkeypatch.setattr(copies, "WORDS", 5)
+    r = random.Random(3)
+    sets = [[set(r.sample(range(12), r.randint(1, 10))) for _ in range(n)] for n in (20, 11)]
+    x, y = copies.overlapping(tuple(np.array([w for s in side for w in s]) for side in sets), tuple(np.array([len(s) for s in side]) for side in sets), copies.LEAST)
+    assert sorted(zip(x.tolist(), y.tolist())) == [(i, j) for i, a in enumerate(sets[0]) for j, b in enumerate(sets[1]) if 20 * len(a & b) >= 11 * len(a | b)]
+
+
+def test_near_classes_of_documents(spark, data):
+    normal = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", text.normalized(F.col("text")).alias("t"))
+    want = near([(x["doc_id"], x["t"]) for x in normal.collect()])
+    assert {x["doc_id"]: x["class_id"] for x in queries.QUERIES["dup_near_classes"](spark, data).collect()} == want
