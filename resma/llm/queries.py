@@ -12,8 +12,8 @@ from resma.plans.spread import spread
 from resma.sources.tables import table
 
 
-def _scans(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(table(spark, folder, "page_cache").select("page_id", "source_sha256", F.col("page.page_number").alias("page_number"), F.col("page.text").alias("text")))
+def _scans(spark: SparkSession, folder: str, *more: str) -> DataFrame:
+    return spread(table(spark, folder, "page_cache").select("page_id", "source_sha256", *more, F.col("page.page_number").alias("page_number"), F.col("page.text").alias("text")))
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -23,7 +23,7 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p1_repaired(spark: SparkSession, folder: str) -> DataFrame:
     """The page texts as continuous paragraphs."""
-    return scans.read_pages(_scans(spark, folder), found=False)
+    return scans.read_pages(_scans(spark, folder, "configuration_sha256"), found=False)
 
 
 #: Key of the pseudonyms; a deployment sets its own and keeps it.

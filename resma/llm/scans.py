@@ -17,7 +17,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import Broadcast, StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -389,31 +389,60 @@ class OddWords(dict):
         return found
 
 
+def is_broken(token: str) -> bool:
+    """Whether a word goes on after ``token``, the last of its line."""
+    return len(token) > 1 and token[-1] in HYPHENS and token[-2].isalpha()
+
+
+def may_go_on(tokens: list[str]) -> bool:
+    """Whether a broken word may go on with the first of ``tokens``."""
+    return bool(tokens) and (tokens[0][:1].isalnum() or tokens[0][:1] in "@€!|")
+
+
 class PageReader:
     def __init__(self, model: Language, common: frozenset[str] = frozenset()) -> None:
         self.speller, self.common = Speller(model), common
         self.words = model.words
         self.odd = OddWords(model.words).__getitem__
 
-    def read(self, text: str, page_number: int | None, known: list[str], repair: bool = True) -> PageResult:
-        """What is wrong with each line (from 1), and the repaired paragraphs."""
+    def border(self, text: str, page_number: int | None, known: list[str]) -> tuple[str | None, bool]:
+        """The first running token if a word may go on with it, and whether the last one is broken."""
+        lines = text.split("\n")
+        furniture = furniture_lines(lines, page_number, known, self.common)
+        running = [i for i in range(len(lines)) if i not in furniture and lines[i].strip()]
+        if not running:
+            return None, False
+        head, tail = lines[running[0]].split(), lines[running[-1]].split()
+        broken = is_broken(tail[-1])
+        goes_on = may_go_on(head) and not (broken and len(running) == len(head) == 1)
+        return head[0] if goes_on else None, broken
+
+    def read(self, text: str, page_number: int | None, known: list[str], repair: bool = True, rest: str | None = None, taken: bool = False) -> PageResult:
+        """What is wrong with each line (from 1), and the repaired paragraphs. ``rest``: what of the
+        page's last word stands on the next page; ``taken``: the first word belongs to the page before."""
         lines = text.split("\n")
         furniture = furniture_lines(lines, page_number, known, self.common)
         found = [(i + 1, "furniture") for i in furniture]
         running = [i for i in range(len(lines)) if i not in furniture and lines[i].strip()]
         split = {i: lines[i].split() for i in running}
+        if taken and running:
+            split[running[0]] = split[running[0]][1:]
+            if not split[running[0]]:
+                running = running[1:]
         # words broken at line ends: the rest moves to the line where the word begins
         page_end = None
         for k, i in enumerate(running):
             token = split[i][-1] if split[i] else ""
-            if len(token) < 2 or token[-1] not in HYPHENS or not token[-2].isalpha():
+            if not is_broken(token):
                 continue
             if k + 1 < len(running):
                 after = split[running[k + 1]]
-                if not after or not after[0][:1].isalnum() and after[0][:1] not in "@€!|":
+                if not may_go_on(after):
                     continue
                 split[running[k + 1]] = after[1:]
                 split[i] = [*split[i][:-1], self.joined(token[:-1], after[0])]
+            elif rest:
+                split[i] = [*split[i][:-1], self.joined(token[:-1], rest)]
             else:
                 page_end = i
             found.append((i + 1, "broken_word"))
@@ -422,7 +451,7 @@ class PageReader:
             odd = list(map(self.odd, split[i]))
             if not any(odd):
                 continue
-            if where := self.misread(split[i], odd, at == 0, page_end == i):
+            if where := self.misread(split[i], odd, at == 0 and not taken, page_end == i):
                 found.append((i + 1, "misread"))
                 if repair:
                     mended[i] = [t.replace(t.strip(AROUND), recased(where[k], t.strip(AROUND))) if where.get(k) else t for k, t in enumerate(split[i])]
@@ -496,14 +525,42 @@ def paragraphs(lines: list[str], running: list[int], mended: dict[int, list[str]
     return "\n".join(out)
 
 
-def read_pages(pages: DataFrame, found: bool, key: str = "page_id", source: str = "source_sha256") -> DataFrame:
-    """``pages``: key, source, page_number, text. With ``found``: (key, line_no, kind), one row
+def carried(ready: DataFrame, sent: Broadcast) -> DataFrame:
+    """(place, rest, taken): words that go on on the next page of the same source and
+    configuration. ``rest`` is what the page takes from the next one, ``taken`` tells that its
+    own first word goes to the page before. ``ready``: place, next_place, page_number, known, text.
+
+    Where rows of one page differ in these words, nothing is carried, so no word is lost.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = PageReader(*sent.value)
+        for batch in batches:
+            borders = [reader.border(text, number, keys or []) for number, keys, text in zip(*(c.to_pylist() for c in batch.columns[2:]))]
+            first, broken = zip(*borders) if borders else ((), ())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(first, pa.string()), pa.array(broken, pa.bool_())], names=["place", "next_place", "first", "broken"])
+
+    whole = ready.where((F.col("text") != "") & F.col("next_place").isNotNull()).select("place", "next_place", "page_number", "known", "text")
+    borders = whole.mapInArrow(run, "place string, next_place string, first string, broken boolean").where("broken OR first IS NOT NULL")
+    alike = (F.min("first") == F.max("first")) & (F.count("first") == F.count("*"))
+    pages = cut(borders.groupBy("place").agg(F.first("next_place").alias("next_place"), F.when(alike, F.min("first")).alias("first"), F.min("broken").alias("broken")))
+    heads = pages.where("first IS NOT NULL").select(F.col("place").alias("next_place"), F.col("first").alias("rest"))
+    pairs = pages.where("broken").select("place", "next_place").join(heads, "next_place")
+    sides = pairs.select("place", "rest", F.lit(False).alias("taken")).unionByName(pairs.select(F.col("next_place").alias("place"), F.lit(None).cast("string").alias("rest"), F.lit(True).alias("taken")))
+    return sides.groupBy("place").agg(F.max("rest").alias("rest"), F.max("taken").alias("taken"))
+
+
+def read_pages(pages: DataFrame, found: bool, key: str = "page_id", source: str = "source_sha256", configuration: str = "configuration_sha256") -> DataFrame:
+    """``pages``: key, source, page_number, text, and configuration if they have one. With ``found``: (key, line_no, kind), one row
     per line and kind; else (key, text_out).
 
     A null or empty text has no findings; its text_out is null or empty. Pages of a null source
     have only page marks and furniture that other sources share. Repeated pages are told alike.
+    In text_out a word that goes on on the next page stands whole on the page where it begins;
+    pages of a null source or number have no next page.
     """
-    named = pages.select(F.col(key).alias("key"), F.col(source).alias("source"), "page_number", "text")
+    part = F.col(configuration) if configuration in pages.columns else F.lit(None)
+    named = pages.select(F.col(key).alias("key"), F.col(source).alias("source"), part.cast("string").alias("part"), "page_number", "text")
     # kept on disk, compressed; what a lost executor held is mined again
     rows = mined_rows(named.where(F.col("text") != "")).persist(StorageLevel.DISK_ONLY)
     model = language(rows)
@@ -511,18 +568,26 @@ def read_pages(pages: DataFrame, found: bool, key: str = "page_id", source: str
     known = cut(known)
     rows.unpersist()
     sent = pages.sparkSession.sparkContext.broadcast((model, common))  # bounded by MAX_WORDS and MAX_PAIRS
-    ready = lookup(named.where(F.col("text") != "") if found else named, known, "source", max_rows=MAX_SOURCES).select("key", "page_number", "known", "text")
+    ready = lookup(named.where(F.col("text") != "") if found else named, known, "source", max_rows=MAX_SOURCES)
+    if not found:
+        place = lambda n: F.when(F.col("source").isNotNull() & n.isNotNull(), F.to_json(F.array(F.col("source").cast("string"), "part", n.cast("string"))))
+        number = F.col("page_number").cast("long")
+        # rows without a place are spread by their text
+        ready = ready.withColumns({"next_place": place(number + 1), "place": F.coalesce(place(number), F.concat(F.lit("#"), F.xxhash64("text").cast("string")))})
+        ready = lookup(ready, carried(ready, sent), "place", max_rows=MAX_SOURCES, salts=1)
+    ready = ready.select("key", "page_number", "known", "text", *([] if found else ["rest", "taken"]))
     kind = pages.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = PageReader(*sent.value)
         for batch in batches:
             at, line_no, kinds, texts = [], [], [], []
-            for i, (number, keys, text) in enumerate(zip(*(c.to_pylist() for c in batch.columns[1:]))):
+            for i, (number, keys, text, *carry) in enumerate(zip(*(c.to_pylist() for c in batch.columns[1:]))):
                 if not text:
                     texts.append(text)
                     continue
-                result = reader.read(text, number, keys or [], repair=not found)
+                rest, taken = carry or (None, False)
+                result = reader.read(text, number, keys or [], repair=not found, rest=rest, taken=bool(taken))
                 texts.append(result.paragraphs)
                 for n, k in result.found:
                     at.append(i)

@@ -275,6 +275,32 @@ def test_pages_tables(spark):
     assert scans.read_pages(pages.limit(0), found=True).count() == 0
 
 
+def test_words_across_pages(spark):
+    line = "o contratante declara ter recebido cópia integral deste instrumento com reflexos"
+    head = "Regulamento do Cartão Azul"
+
+    def page(first, last, n):
+        return f"{head}\n{first}\n{line}\n{line}\n{line}\n{last}\n{n}"
+
+    kinds = "page_id long, source_sha256 string, configuration_sha256 string, page_number int, text string"
+    rows = [(n, "s", "c", n, page(line, line, n)) for n in range(1, 7)]
+    rows += [(10, "s", "c", 7, page(line, "as demais rece-", 7)), (11, "s", "c", 8, page("bido cópia integral", "deste instru-", 8)), (12, "s", "c", 9, page("mento", "deste instru-", 9))]
+    # another configuration, a page that is missing, and one of another source
+    rows += [(20, "s", None, 7, page(line, "patrimonial do recebido instru-", 7)), (21, "s", None, 8, page("mento com reflexos", line, 8)), (22, "t", "c", 10, page("mento com reflexos", line, 10))]
+    # rows of one page that differ: nothing is carried
+    rows += [(30, "s", "d", 1, page(line, "deste instru-", 1)), (31, "s", "d", 2, page("mento com", line, 2)), (32, "s", "d", 2, page("recebido com", line, 2))]
+    rows += [(40, None, "c", 1, page(line, "deste instru-", 1)), (41, None, "c", 2, page("mento com", line, 2))]
+    out = {r["page_id"]: r["text_out"] for r in scans.read_pages(spark.createDataFrame(rows, kinds), found=False).collect()}
+    assert out[10].endswith("as demais recebido") and out[11].startswith("cópia integral") and out[11].endswith("deste instrumento")
+    assert out[12].startswith(line) and out[12].endswith("instru-")
+    assert out[20].endswith("instrumento") and out[21].startswith("com reflexos") and out[22].find("mento com reflexos") >= 0
+    assert out[30].endswith("instru-") and "mento com" in out[31] and "recebido com" in out[32]
+    assert out[40].endswith("instru-") or "instru-" in out[40]
+    assert "mento com" in out[41]
+    # a word misread in its rest is mended whole
+    assert scans.PageReader(MODEL).read("as demais rece-", 3, [], rest="bid0").paragraphs == "as demais recebido"
+
+
 # --- areas
 
 
