@@ -372,7 +372,7 @@ h AS (SELECT *, first_value(role) OVER (PARTITION BY source_sha256, configuratio
 q AS (SELECT source_sha256, configuration_sha256, min(n) AS start, max(n) AS stop, count(*) AS size, arg_max(role, n) AS last, arg_min(role, n) AS first FROM h GROUP BY source_sha256, configuration_sha256, run, CASE WHEN head = 'A' THEN -1 ELSE n END)
 SELECT source_sha256, configuration_sha256, start, stop, size, CASE WHEN first = 'B' OR (first = 'A' AND last = 'E') THEN 'instrument' WHEN first = 'A' THEN 'incomplete' WHEN first IN ('C', 'E') THEN 'orphan' WHEN first = 'U' THEN 'unclear' ELSE 'fragment' END AS outcome FROM q WHERE first <> 'N'""")
 def win_instruments(spark: SparkSession, folder: str) -> DataFrame:
-    """WN04, WN14: instruments that begin, go on and end over consecutive pages."""
+    """WN04: instruments that begin, go on and end over consecutive pages."""
     pages = table(spark, folder, "page_cache").select("source_sha256", "configuration_sha256", F.col("page.page_number").alias("n"), F.col("page.text").alias("t")).where("n IS NOT NULL")
     t = F.col("t")
     one = pages.groupBy("source_sha256", "configuration_sha256", "n").agg(F.max("t").alias("t"))
