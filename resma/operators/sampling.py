@@ -56,20 +56,23 @@ def covering_sample(df: DataFrame, key: str, stratum_column: str, group: str, n:
     Choosing is one row after another, so the candidates are first cut to what can be chosen:
     of each stratum and group the first ``quota`` rows in seeded order (a row beyond these is
     never the best). That is at most n rows per group of each stratum, whatever the table's size.
+    Null is a group of its own, and a stratum.
     """
+    # texts that are never null, so that rows of null groups and strata find their counts
+    named = df.select(F.col(key), stratum(stratum_column).alias("_stratum"), stratum(group).alias("_group"), F.coalesce(seeded_rank(seed, F.col(stratum_column)), F.lit("")).alias("stratum_rank"))
     sizes = df.groupBy(stratum_column).agg(F.count("*").alias("size"))
-    quota = quotas(sizes, n, seed, stratum_column)
-    population = df.groupBy(group).agg(F.count("*").alias("population"))
-    ranked = df.select(key, stratum_column, group).withColumn("rank", seeded_rank(seed, F.col(key)))
-    nth = F.row_number().over(Window.partitionBy(stratum_column, group).orderBy("rank", key))
-    cut = ranked.join(quota, stratum_column).withColumn("_nth", nth)
-    can = cut.where(F.coalesce(F.col("_nth") <= F.col("quota"), F.col("_nth") <= n)).join(population, group).withColumn("stratum_rank", seeded_rank(seed, F.col(stratum_column)))
+    quota = quotas(sizes, n, seed, stratum_column).select(stratum(stratum_column).alias("_stratum"), "size", "quota")
+    population = named.groupBy("_group").agg(F.count("*").alias("population"))
+    ranked = named.withColumn("rank", seeded_rank(seed, F.col(key)))
+    nth = F.row_number().over(Window.partitionBy("_stratum", "_group").orderBy("rank", key))
+    cut = ranked.join(quota, "_stratum").withColumn("_nth", nth)
+    can = cut.where(F.coalesce(F.col("_nth") <= F.col("quota"), F.col("_nth") <= n)).join(population, "_group")
 
     def choose(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["rank", key])
         if rows["quota"].isna().any():
             return rows.head(n)[[key]]
-        pools = {s: g.to_dict("records") for s, g in rows.groupby(stratum_column, dropna=False)}
+        pools = {s: g.to_dict("records") for s, g in rows.groupby("_stratum")}
         order = sorted(pools, key=lambda s: (pools[s][0]["size"], pools[s][0]["stratum_rank"]))
         left = {s: int(pools[s][0]["quota"]) for s in order}
         seen: dict[object, int] = {}
@@ -78,10 +81,10 @@ def covering_sample(df: DataFrame, key: str, stratum_column: str, group: str, n:
             for s in order:
                 if not left[s]:
                     continue
-                best = min(pools[s], key=lambda r: (seen.get(r[group], 0) > 0, seen.get(r[group], 0) / r["population"], r["rank"]))
+                best = min(pools[s], key=lambda r: (seen.get(r["_group"], 0) > 0, seen.get(r["_group"], 0) / r["population"], r["rank"]))
                 pools[s].remove(best)
                 left[s] -= 1
-                seen[best[group]] = seen.get(best[group], 0) + 1
+                seen[best["_group"]] = seen.get(best["_group"], 0) + 1
                 out.append(best[key])
         return pd.DataFrame({key: out})
 

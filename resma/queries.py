@@ -184,9 +184,10 @@ def smp_by_quota(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def smp_covering(spark: SparkSession, folder: str) -> DataFrame:
-    """WN16: a quota sample that spreads over processes; held against brute force in the tests."""
-    docs = _stratified(spark, folder).join(table(spark, folder, "documents").select("doc_id", F.year("collected_at").alias("year")), "doc_id")
-    return sampling.covering_sample(docs.withColumn("key", F.col("doc_id").cast("string")), "key", "stratum", "year", 100, SEED).select("doc_id", "stratum", "year")
+    """WN16: a quota sample over languages and years that spreads over sources; held against brute force in the tests."""
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "source", F.year("collected_at").alias("year"))
+    docs = docs.withColumn("stratum", sampling.stratum("lang", "year")).withColumn("key", F.col("doc_id").cast("string"))
+    return sampling.covering_sample(docs, "key", "stratum", "source", 100, SEED).select("doc_id", "stratum", "source")
 
 
 @query(f"""WITH d AS ({_STRATA}), {_QUOTAS}, picked AS (SELECT doc_id FROM (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY sha256('{SEED}:' || doc_id), doc_id) AS nth FROM d) x JOIN quotas q ON x.stratum = q.stratum WHERE nth <= quota)

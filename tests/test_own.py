@@ -162,6 +162,22 @@ def test_covering_sample(spark, n):
     assert got == sorted(r["k"] for r in sampling.covering_sample(spark.createDataFrame(rows[::-1], "k string, s string, g string").repartition(7), "k", "s", "g", n, 11).collect())
 
 
+@pytest.mark.parametrize("n", [3, 8, 20, 60])
+def test_covering_sample_of_null_groups(spark, n):
+    # the rows of one stratum all have a null group
+    rows = [(f"k{i}", f"s{i % 4}", None if i % 4 == 0 or i % 9 == 0 else f"g{i % 5}") for i in range(60)]
+    frame = spark.createDataFrame(rows, "k string, s string, g string")
+    assert sorted(r["k"] for r in sampling.covering_sample(frame, "k", "s", "g", n, 11).collect()) == covering(rows, n, 11)
+    nulls = frame.withColumn("s", F.when(F.col("s") != "s1", F.col("s")))
+    assert sampling.covering_sample(nulls, "k", "s", "g", n, 11).count() == n
+
+
+def test_smp_covering_spreads(spark, data):
+    chosen = queries.QUERIES["smp_covering"](spark, data)
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    assert {r["source"] for r in chosen.select("source").distinct().collect()} == {r["source"] for r in docs.select("source").distinct().collect()}
+
+
 def test_split_is_disjoint(spark):
     frame = spark.range(100).withColumn("k", F.col("id").cast("string"))
     roles = sampling.split(frame, "k", {"a": 25, "b": 30}, 5).collect()
