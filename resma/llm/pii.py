@@ -404,7 +404,7 @@ BIRTH = re.compile(r"(?:nascid[oa](?:\s+na\s+cidade\s+de\s+[^,\d]{2,40})?,?\s+(?
 
 def redacted(text: str, spans: list[tuple[str, int, int]], key: bytes) -> str:
     """``text`` with each value as a typed placeholder, such as [phone (71) 98888-0000] with
-    permuted digits or [name 3f9a2c]; birth dates are permuted in place."""
+    permuted digits or [name 3f9a2c51b07de846]; birth dates are permuted in place."""
     out, at = [], 0
     for kind, start, end in spans:
         out.append(text[at:start])
@@ -413,7 +413,7 @@ def redacted(text: str, spans: list[tuple[str, int, int]], key: bytes) -> str:
         if kind in ("phone", "id_number"):
             out.append(f"[{kind} {permute_number(flat, key, kind)}]")
         else:
-            out.append(f"[{kind} {hashlib.blake2b(fold(flat).encode(), key=key, digest_size=4).hexdigest()}]")
+            out.append(f"[{kind} {hashlib.blake2b(fold(flat).encode(), key=key, digest_size=8).hexdigest()}]")
         at = end
     out.append(text[at:])
 

@@ -219,6 +219,11 @@ def test_lexicon_is_mined_and_nulls_pass(spark):
     assert pii.found_values(pages.limit(0), pii.mine_lexicon(pages.limit(0))).count() == 0
 
 
+def test_tags_of_many_values_differ():
+    values = [f"n{i}" for i in range(300_000)]
+    assert len({pii.redacted(v, [("name", 0, len(v))], b"key") for v in values}) == len(values)
+
+
 # --- scanned pages
 
 WORDS = {w: 500 for w in "o contratante declara ter recebido cópia integral deste instrumento com reflexos na esfera patrimonial do requerente segundas-feiras as demais moldes".split()}
