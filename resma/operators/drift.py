@@ -12,13 +12,15 @@ import json
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from resma.operators.structural import key_hash
+from resma.operators.structural import key_hash, strings
 from resma.plans.cut import cut
 from resma.plans.lookup import lookup
 
@@ -84,22 +86,41 @@ def form_of(value: object) -> str:
     return re.sub(r"[^\W\d_]+", "a", re.sub(r"\d+", lambda m: "9" * len(m.group()), str(value)))
 
 
-def header_counts(records: DataFrame, file: str, raw: str, top_only: bool = False) -> DataFrame:
-    """(file, path, type, n): the number of records of each file that show the type at the path."""
+#: Marks (name, type) pairs of top-level names, exact whatever characters a name holds.
+TOP = "\x00"
+#: Integers up to here are exact as double, and up to the second as 64-bit integers.
+EXACT, LONG = 1 << 53, 1 << 63
+
+
+def column_type(value: object) -> str:
+    """The type of a top-level value in the lattice of ``promote``."""
+    kind = json_type(value)
+    if kind == "integer" and abs(value) > EXACT:
+        return "long" if -LONG <= value < LONG else "huge"
+    return kind
+
+
+def record_types(record: object) -> set[tuple[str, str]]:
+    """(path, type) of all that a record holds, and (TOP + name, column type) of its top-level names."""
+    seen: set[tuple[str, str]] = set()
+    if isinstance(record, dict):
+        record_paths(record, "", seen)
+        seen.update((TOP + k, column_type(v)) for k, v in record.items())
+    return seen
+
+
+def header_counts(records: DataFrame, file: str, raw: str) -> DataFrame:
+    """(file, path, type, n): the number of records of each file that show the type at the path,
+    as ``record_types`` gives them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts: Counter[tuple[str, str, str]] = Counter()
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                record, seen = json.loads(text), set()
-                if top_only:
-                    seen = {(k, json_type(v)) for k, v in record.items()} if isinstance(record, dict) else seen
-                else:
-                    record_paths(record, "", seen)
-                counts.update((name, p, t) for p, t in seen)
+                counts.update((name, p, t) for p, t in record_types(json.loads(text)))
             rows = list(counts.items())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k[i] for k, _ in rows], pa.string()) for i in range(3)] + [pa.array([n for _, n in rows], pa.int64())],
+                [strings(k[i] for k, _ in rows) for i in range(3)] + [pa.array([n for _, n in rows], pa.int64())],
                 names=["file", "path", "type", "n"],
             )
 
@@ -112,7 +133,7 @@ def file_schemas(counts: DataFrame) -> DataFrame:
     null is shown; of equally common types the one that holds the other (see ``JSON_TYPES``)."""
     rank = F.create_map(*[x for i, t in enumerate(JSON_TYPES) for x in (F.lit(t), F.lit(i))])
     best = F.max(F.when(F.col("type") != NULL, F.struct(F.col("n"), rank[F.col("type")].alias("r"), F.col("type"))))
-    return counts.groupBy("file", "path").agg(F.coalesce(best["type"], F.lit(NULL)).alias("type"))
+    return counts.where(~F.col("path").startswith(TOP)).groupBy("file", "path").agg(F.coalesce(best["type"], F.lit(NULL)).alias("type"))
 
 
 def standing(schema: dict[str, str]) -> dict[str, str]:
@@ -173,53 +194,63 @@ def rename_candidates(changes: DataFrame) -> DataFrame:
     return gone.join(come, ["file", "type"])
 
 
-def field_content(records: DataFrame, asked: DataFrame, file: str, raw: str, case: str) -> DataFrame:
-    """(pair, path, entity, value, form) for each record of the asked (file, pair, path)."""
-    wanted = asked.groupBy("file").agg(F.collect_list(F.struct("pair", "path")).alias("_asked"))
+def field_content(records: DataFrame, candidates: DataFrame, file: str, raw: str, case: str) -> DataFrame:
+    """(pair, old_field, new_field, kind, key, v0, v1, n0, n1): what the files of each candidate hold.
+
+    kind ``case``: the hash of the old value (v0) and the new one (v1) of the case ``key``. kind
+    ``form``: how many values of the old (n0) and new (n1) field have the form ``key``; forms are
+    counted where the records are read. One shuffle of partial aggregates.
+    """
+    side = lambda f, path, old: candidates.select(F.col(f).alias("file"), F.struct(F.col("file").alias("pair"), "old_field", "new_field", F.col(path).alias("path"), F.lit(old).alias("old")).alias("c"))
+    wanted = side("before", "old_field", True).unionByName(side("file", "new_field", False)).groupBy("file").agg(F.collect_list("c").alias("_asked"))
     rows = lookup(records.select(F.col(file).alias("file"), raw), wanted, "file", how="inner").select("_asked", raw)
+    schema = "pair string, old_field string, new_field string, kind string, key long, v0 long, v1 long, n0 long, n1 long"
+    kinds = (*[pa.string()] * 4, *[pa.int64()] * 5)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = []
+            cases: list[tuple] = []
+            forms: Counter[tuple] = Counter()
             for asked, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 record = json.loads(text)
-                entity = str(record.get(case)) if isinstance(record, dict) else ""
+                entity = key_hash(str(record.get(case)).encode("utf-8", "surrogatepass")) if isinstance(record, dict) else 0
+                read: dict[str, tuple[int, int] | None] = {}
                 for a in asked:
-                    if found := values_at(record, a["path"]):
-                        value = json.dumps(found, sort_keys=True)
-                        form = "|".join(map(form_of, found))
+                    path = a["path"]
+                    if path not in read:
+                        found = values_at(record, path)
+                        value = json.dumps(found, sort_keys=True).encode()
+                        form = "|".join(map(form_of, found)).encode("utf-8", "surrogatepass")
                         # a short form tells nothing: the value itself stands for it
-                        out.append((a["pair"], a["path"], entity, key_hash(value.encode()), key_hash((form if len(form) >= 4 else value).encode())))
-            cols = list(zip(*out)) or [[]] * 5
-            types = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["pair", "path", "entity", "value", "form"])
+                        read[path] = (key_hash(value), key_hash(form if len(form) >= 4 else value)) if found else None
+                    if (seen := read[path]) is None:
+                        continue
+                    name = (a["pair"], a["old_field"], a["new_field"])
+                    cases.append((*name, "case", entity, seen[0] if a["old"] else None, None if a["old"] else seen[0], 0, 0))
+                    forms[(*name, seen[1], a["old"])] += 1
+            cases += [(*k[:3], "form", k[3], None, None, n if k[4] else 0, 0 if k[4] else n) for k, n in forms.items()]
+            cols = list(zip(*cases)) or [[]] * len(kinds)
+            yield pa.RecordBatch.from_arrays([strings(c) if t == pa.string() else pa.array(c, t) for c, t in zip(cols, kinds)], names=[x.split()[0] for x in schema.split(", ")])
 
-    return rows.mapInArrow(run, "pair string, path string, entity string, value long, form long")
+    return rows.mapInArrow(run, schema).groupBy("pair", "old_field", "new_field", "kind", "key").agg(*[F.min(v).alias(v) for v in ("v0", "v1")], *[F.sum(n).alias(n) for n in ("n0", "n1")])
 
 
 def scored_renames(records: DataFrame, candidates: DataFrame, file: str, raw: str, case: str) -> DataFrame:
     """``candidates`` with ``score``: the share of equal values over the cases both files hold
     if there are three or more, else the overlap of the forms of all values (averaged with the
     share of equal values if there is a shared case)."""
-    old_asked = candidates.select(F.col("before").alias("file"), F.col("file").alias("pair"), F.col("old_field").alias("path"))
-    new_asked = candidates.select("file", F.col("file").alias("pair"), F.col("new_field").alias("path"))
-    # a path is either gone or come in one pair, so it tells the side as well
-    content = cut(field_content(records, old_asked.unionByName(new_asked).distinct(), file, raw, case))
-    per_case = content.groupBy("pair", "path", "entity").agg(F.min("value").alias("value"))
-    links = candidates.select(F.col("file").alias("pair"), "old_field", "new_field")
-    old = per_case.join(links, (per_case.pair == links.pair) & (per_case.path == links.old_field)).select(per_case.pair, "old_field", "new_field", "entity", F.col("value").alias("v0"))
-    new = per_case.select("pair", F.col("path").alias("new_field"), "entity", F.col("value").alias("v1"))
-    shared = old.join(new, ["pair", "new_field", "entity"]).groupBy("pair", "old_field", "new_field").agg(F.count("*").alias("shared"), F.avg((F.col("v0") == F.col("v1")).cast("double")).alias("equal"))
-    forms = content.groupBy("pair", "path", "form").agg(F.count("*").alias("n"))
-    total = content.groupBy("pair", "path").agg(F.count("*").alias("total"))
-    share = forms.join(total, ["pair", "path"]).select("pair", "path", "form", (F.col("n") / F.col("total")).alias("p"))
-    old_share = share.join(links, (share.pair == links.pair) & (share.path == links.old_field)).select(share.pair, "old_field", "new_field", "form", F.col("p").alias("p0"))
-    new_share = share.select("pair", F.col("path").alias("new_field"), "form", F.col("p").alias("p1"))
-    alike = old_share.join(new_share, ["pair", "new_field", "form"]).groupBy("pair", "old_field", "new_field").agg(F.sum(F.least("p0", "p1")).alias("alike"))
+    candidates = cut(candidates)
     keys = ["pair", "old_field", "new_field"]
-    scored = candidates.withColumnRenamed("file", "pair").join(shared, keys, "left").join(alike, keys, "left")
+    content = cut(field_content(records, candidates, file, raw, case))
+    both = F.col("v0").isNotNull() & F.col("v1").isNotNull()
+    sums = cut(content.groupBy(*keys).agg(F.count_if(both).alias("shared"), F.count_if(both & (F.col("v0") == F.col("v1"))).alias("same"), F.sum("n0").alias("t0"), F.sum("n1").alias("t1")))
+    # a form on one side only adds nothing to the overlap
+    met = content.where((F.col("kind") == "form") & (F.col("n0") > 0) & (F.col("n1") > 0))
+    overlap = met.join(sums, keys).groupBy(*keys).agg(F.sum(F.least(F.col("n0") / F.col("t0"), F.col("n1") / F.col("t1"))).alias("alike"))
+    scored = candidates.withColumnRenamed("file", "pair").join(sums, keys, "left").join(overlap, keys, "left")
     alike = F.coalesce("alike", F.lit(0.0))
-    score = F.when(F.col("shared") >= 3, F.col("equal") + alike / 1000).when(F.col("shared") >= 1, (F.col("equal") + alike) / 2).otherwise(alike)
+    equal = F.col("same") / F.col("shared")
+    score = F.when(F.col("shared") >= 3, equal + alike / 1000).when(F.col("shared") >= 1, (equal + alike) / 2).otherwise(alike)
     return scored.select("pair", "before", "type", "old_field", "new_field", score.alias("score"))
 
 
@@ -250,11 +281,14 @@ def file_order(files: DataFrame, file: str = "dataset_id", path: str = "input_pa
     return keyed.withColumn("before", F.lag("file").over(Window.partitionBy("feed").orderBy("_name", "file"))).drop("_name")
 
 
-def record_drift(records: DataFrame, order: DataFrame, file: str = "dataset_id", raw: str = "raw_json", case: str = "process_number") -> DataFrame:
+def record_drift(records: DataFrame, order: DataFrame, file: str = "dataset_id", raw: str = "raw_json", case: str = "process_number", counts: DataFrame | None = None) -> DataFrame:
     """Every change of the records' layout (file, drift, old_field, new_field) at the file
     where it happens. ``records`` must load. A file without records has no layout: it is told
-    nothing of, nor is the file after it. A null text is no record."""
-    changes = cut(file_changes(file_schemas(header_counts(records, file, raw)), order))
+    nothing of, nor is the file after it. A null text is no record. ``counts``: the header
+    counts of the records, if an earlier pass has made them."""
+    if counts is None:
+        counts = header_counts(records, file, raw)
+    changes = cut(file_changes(file_schemas(counts), order))
     scored = scored_renames(records, rename_candidates(changes), file, raw, case)
     return with_renames(changes, best_renames(scored))
 
@@ -329,35 +363,50 @@ def sidecar_drift(files: DataFrame, order: DataFrame, file: str = "dataset_id",
 
 # --- one table over all layouts
 
-#: The lattice: two types meet in the first of these that holds both; lists and objects are kept as JSON text.
-SPARK_TYPE = {"boolean": "boolean", "integer": "bigint", "number": "double", "string": "string", NULL: "string"}
+#: Spark type of each type of the lattice; lists, objects and what no other type holds are kept as JSON text.
+SPARK_TYPE = {"boolean": "boolean", "integer": "bigint", "long": "bigint", "number": "double"}
+#: Most columns of the union table, those of most records first; the others go to the map ``more``.
+MOST_COLUMNS = 2000
 
 
 def promote(types: set[str]) -> str:
+    """Where types meet in the lattice: integer < long < huge and integer < number, all below
+    string; array and object meet others in string. Null is below all. No value of a type is
+    lost in the type at which it meets others."""
     types = types - {NULL}
     if not types:
         return NULL
     if len(types) == 1:
         return types.pop()
+    if types == {"integer", "long"}:
+        return "long"
     return "number" if types == {"integer", "number"} else "string"
 
 
-def union_schema(schemas: DataFrame, renames: DataFrame) -> tuple[dict[str, str], dict[str, str]]:
-    """(type of each column, column of each top-level name). Names linked by renames share the
-    column of the alphabetically first feed layout's name; what reaches the driver is one row
-    per distinct name, type and rename, however many files and records there are."""
-    top = schemas.where(~F.col("path").contains(".") & ~F.col("path").contains("[]"))
-    seen = top.groupBy("path", "type").agg(F.count("*").alias("files")).collect()
-    links = renames.where(~F.col("old_field").contains(".") & ~F.col("old_field").contains("[]")).select("old_field", "new_field").distinct().collect()
-    files: Counter[str] = Counter()
-    types: dict[str, set[str]] = {}
-    for r in seen:
-        files[r["path"]] += r["files"]
-        types.setdefault(r["path"], set()).add(r["type"])
+@dataclass
+class UnionSchema:
+    """The columns of the union table with their types, and the column of each top-level name."""
+
+    columns: dict[str, str]
+    column_of: dict[str, str]
+
+
+def union_schema(counts: DataFrame, renames: DataFrame, most: int = MOST_COLUMNS) -> UnionSchema:
+    """The union of all layouts. Every type that any record shows takes part, not only those
+    of most records. Names linked by renames share the column named as in most files. ``counts``:
+    file, path, type, n as ``header_counts`` gives them. The driver gets one row per name,
+    at most ``most`` names."""
+    top = counts.where(F.col("path").startswith(TOP)).withColumn("name", F.substring("path", 2, 1 << 30))
+    names = top.groupBy("name").agg(F.sum("n").alias("n"), F.countDistinct("file").alias("files"), F.collect_set("type").alias("types"))
+    seen = names.orderBy(F.desc("n"), "name").limit(most).collect()
+    plain = ~F.col("old_field").rlike(r"\.|\[\]") & ~F.col("new_field").rlike(r"\.|\[\]")
+    files = {r["name"]: r["files"] for r in seen}
+    types = {r["name"]: set(r["types"]) for r in seen}
+    links = renames.where(plain & F.col("old_field").isin(list(files)) & F.col("new_field").isin(list(files))).select("old_field", "new_field").distinct().collect()
     root = {p: p for p in types}
 
     def find(x: str) -> str:
-        while root.setdefault(x, x) != x:
+        while root[x] != x:
             x = root[x]
         return x
 
@@ -366,45 +415,59 @@ def union_schema(schemas: DataFrame, renames: DataFrame) -> tuple[dict[str, str]
     classes: dict[str, list[str]] = {}
     for p in types:
         classes.setdefault(find(p), []).append(p)
-    columns: dict[str, str] = {}
-    column_of: dict[str, str] = {}
-    for names in classes.values():
-        chief = max(names, key=lambda x: (files[x], x))  # the name of most files
-        columns[chief] = promote(set().union(*(types[x] for x in names)))
-        column_of |= {x: chief for x in names}
-    return dict(sorted(columns.items())), column_of
-
-
-def unified(records: DataFrame, keys: list[str], raw: str, columns: dict[str, str], column_of: dict[str, str]) -> DataFrame:
-    """``records`` as one table: ``keys``, then each column cast to its union type. A column of
-    the records that clashes with a key gets a trailing underscore."""
-    named = {c: c + "_" if c in keys else c for c in columns}
-    kept = records.select(*keys, raw)
+    out = UnionSchema({}, {})
+    for same in classes.values():
+        chief = max(same, key=lambda x: (files[x], x))  # the name of most files
+        out.columns[chief] = promote(set().union(*(types[x] for x in same)))
+        out.column_of |= {x: chief for x in same}
+    out.columns = dict(sorted(out.columns.items()))
+    return out
+
+
+def as_text(value: object) -> str:
+    return value if isinstance(value, str) else json.dumps(value, ensure_ascii=False, sort_keys=True)
+
+
+def unified(records: DataFrame, keys: list[str], raw: str, schema: UnionSchema) -> DataFrame:
+    """``records`` as one table: ``keys``, each column in its union type, and ``more``, a map of
+    name to JSON text with every value that has no cell of its own: a second name of a column
+    that the record fills already, and names beyond the columns. Nothing is lost. A column of
+    the records that clashes with a key or ``more`` (capitals aside, as column names are
+    compared) or an earlier column gets trailing underscores."""
+    columns = schema.columns
+    named: dict[str, str] = {}
+    used = {k.lower() for k in keys} | {"more"}
+    for c in columns:
+        name = c
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        named[c] = name
     arrow = {"boolean": pa.bool_(), "bigint": pa.int64(), "double": pa.float64(), "string": pa.string()}
     spark_type = {c: SPARK_TYPE.get(t, "string") for c, t in columns.items()}
-
-    def cast(value: object, to: str) -> object:
-        if value is None:
-            return None
-        if to == "string":
-            return value if isinstance(value, str) else json.dumps(value, ensure_ascii=False, sort_keys=True)
-        if to == "boolean":
-            return value if isinstance(value, bool) else None
-        if isinstance(value, bool) or not isinstance(value, (int, float)):
-            return None
-        if to == "double":
-            return float(value)
-        return value if isinstance(value, int) and -(1 << 63) <= value < 1 << 63 else None
+    kept = records.select(*keys, raw)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cells: dict[str, list] = {c: [None] * batch.num_rows for c in columns}
+            more: list[list[tuple[str, str]]] = [[] for _ in range(batch.num_rows)]
             for i, text in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
-                for k, v in json.loads(text).items():
-                    if (c := column_of.get(k)) and v is not None:
-                        cells[c][i] = cast(v, spark_type[c])
-            arrays = [pa.array(v, arrow[spark_type[c]]) for c, v in cells.items()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *arrays], names=[*keys, *(named[c] for c in columns)])
-
-    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != raw] + [f"`{named[c]}` {t}" for c, t in spark_type.items()]
-    return kept.mapInArrow(run, ", ".join(schema))
+                record = json.loads(text)
+                # the name that the column has comes first
+                for k in sorted(record, key=lambda k: schema.column_of.get(k) != k):
+                    v = record[k]
+                    if v is None:
+                        continue
+                    c = schema.column_of.get(k)
+                    if c is None or cells[c][i] is not None:
+                        more[i].append((k, json.dumps(v, ensure_ascii=False, sort_keys=True)))
+                    else:
+                        cells[c][i] = as_text(v) if spark_type[c] == "string" else float(v) if spark_type[c] == "double" else v
+            arrays = [strings(v) if spark_type[c] == "string" else pa.array(v, arrow[spark_type[c]]) for c, v in cells.items()]
+            flat = [x for pairs in more for x in pairs]
+            ends = np.cumsum([0, *map(len, more)])
+            rest = pa.MapArray.from_arrays(pa.array(ends, pa.int32()), strings(k for k, _ in flat), strings(v for _, v in flat))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *arrays, rest], names=[*keys, *named.values(), "more"])
+
+    out = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != raw] + ["`{}` {}".format(named[c].replace("`", "``"), t) for c, t in spark_type.items()] + ["more map<string,string>"]
+    return kept.mapInArrow(run, ", ".join(out))

@@ -12,9 +12,11 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 
 SCALAR = re.compile(rb"-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?|true|false|null")
 INTEGER = re.compile(rb"-?(?:0|[1-9][0-9]*)")
@@ -47,14 +49,32 @@ class Index:
     fields: dict[str, list[bytes | None]] = field(default_factory=dict)
 
 
-def key_hash(name: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(name, digest_size=8).digest(), "little", signed=True)
+#: Bytes of text that are indexed at once: bounds the memory of masks and tokens.
+SLICE = 1 << 20
+
 
+def slices(sizes: np.ndarray, most: int = SLICE) -> Iterator[tuple[int, int]]:
+    """(from, to) of runs of lines of these ``sizes`` of about ``most`` bytes; a longer line is a run of its own."""
+    ends = np.cumsum(sizes, dtype=np.int64)
+    start = before = 0
+    while start < len(sizes):
+        stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield start, stop
+        start, before = stop, int(ends[stop - 1])
 
-def _by_line(mask_lines: np.ndarray, n: int) -> np.ndarray:
-    found = np.zeros(n, bool)
-    found[mask_lines] = True
-    return found
+
+def strings(values: Iterable[str | None]) -> pa.Array:
+    """``values`` as an Arrow column. Half of a surrogate pair, which JSON text may state but no
+    Unicode text holds, is kept as its escape."""
+    values = list(values)
+    try:
+        return pa.array(values, pa.string())
+    except UnicodeEncodeError:
+        return pa.array([v if v is None else v.encode("utf-8", "backslashreplace").decode() for v in values], pa.string())
+
+
+def key_hash(name: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(name, digest_size=8).digest(), "little", signed=True)
 
 
 def index_lines(lines: list[bytes], wanted: tuple[str, ...] = ()) -> Index:
@@ -69,64 +89,66 @@ def index_lines(lines: list[bytes], wanted: tuple[str, ...] = ()) -> Index:
     data = np.frombuffer(b"\n".join(lines) + b"\n", np.uint8)
     lengths = np.fromiter((len(x) + 1 for x in lines), np.int64, n)
     ends = np.cumsum(lengths)
-    starts = ends - lengths
     broken = np.zeros(n, bool)
     out = Index(broken, np.zeros(n, bool), np.zeros(n, bool), np.zeros(n, np.int64), np.zeros(n, np.int32), {w: [None] * n for w in wanted})
     if not n:
         return out
     size = len(data)
-    line_of = np.repeat(np.arange(n, dtype=np.int32), lengths)
 
-    # --- quote mask and prefix parity
-    slash = data == 92
+    def line_at(places: np.ndarray) -> np.ndarray:
+        return np.searchsorted(ends, places, side="right")
+
+    # --- quote mask and prefix parity; masks have one byte a character, all else is sparse
     quotes = np.flatnonzero(data == 34)
-    if slash.any():
-        places = np.arange(size, dtype=np.int64)
-        last_other = np.maximum.accumulate(np.where(slash, -1, places))
-        before = quotes - 1
-        run = np.where(before >= 0, before - last_other[np.maximum(before, 0)], 0)
-        quotes = quotes[(run & 1) == 0]
+    slashes = np.flatnonzero(data == 92)
+    if len(slashes):
+        place = np.arange(len(slashes))
+        first_of_run = np.ones(len(slashes), bool)
+        first_of_run[1:] = slashes[1:] != slashes[:-1] + 1
+        nth = place - np.maximum.accumulate(np.where(first_of_run, place, 0))
         # backslashes that begin an escape: those at an even distance into their run
-        at = np.flatnonzero(slash)
-        begins = at[((at - last_other[at]) & 1) == 1]
+        begins = slashes[(nth & 1) == 0]
+        # a quote after such a backslash is escaped
+        quotes = quotes[~np.isin(quotes - 1, begins, assume_unique=True)]
     else:
-        begins = np.zeros(0, np.int64)
-    mark = np.zeros(size, np.int8)
+        begins = slashes
+    quotes_to = np.searchsorted(quotes, ends)
+    open_at_end = np.diff(quotes_to, prepend=0) & 1 == 1
+    broken |= open_at_end
+    mark = np.zeros(size, np.uint8)
     mark[quotes] = 1
-    total = np.cumsum(mark, dtype=np.int64)
-    base = np.where(starts > 0, total[np.maximum(starts - 1, 0)], 0)
-    parity = (total - np.repeat(base, lengths)) & 1
-    inside = (parity == 1) | (mark == 1)  # with both quotes
-    broken |= parity[ends - 1] == 1
+    # a string that its line leaves open ends with the line
+    mark[ends[open_at_end] - 1] ^= 1
+    parity = np.add.accumulate(mark, dtype=np.uint8)
+    parity &= 1
+    inside = (parity | mark).view(bool)  # with both quotes
 
     # --- inside strings: control characters and escapes
-    bad = line_of[inside & (data < 32)]
-    broken[bad] = True
+    broken[line_at(np.flatnonzero(inside & (data < 32)))] = True
     if len(begins):
         within = inside[begins]
-        broken[line_of[begins[~within]]] = True
+        broken[line_at(begins[~within])] = True
         begins = begins[within]
         after = data[np.minimum(begins + 1, size - 1)]
-        broken[line_of[begins[~_ESCAPE[after]]]] = True
+        broken[line_at(begins[~_ESCAPE[after]])] = True
         unicode_at = begins[after == 117]
         for k in range(2, 6):
-            broken[line_of[unicode_at[~_HEX[data[np.minimum(unicode_at + k, size - 1)]]]]] = True
+            broken[line_at(unicode_at[~_HEX[data[np.minimum(unicode_at + k, size - 1)]]])] = True
 
     # --- tokens outside strings
     kind_at = _KIND[data]
-    outside = ~inside
-    structural = outside & (kind_at != 255)
-    scalar = outside & ~structural & ~_SPACE[data]
+    is_token = kind_at != 255
+    is_token &= ~inside
+    scalar = ~(inside | is_token | _SPACE[data])
     scalar_start = scalar.copy()
     scalar_start[1:] &= ~scalar[:-1]
-    scalar_end = scalar.copy()
-    scalar_end[:-1] &= ~scalar[1:]
+    scalar_ends = np.flatnonzero(scalar[:-1] & ~scalar[1:]) + 1  # the last character is a newline
     opening = quotes[parity[quotes] == 1]
     closing = quotes[parity[quotes] == 0]
-    is_token = structural | scalar_start
+    is_token |= scalar_start
     is_token[opening] = True
     pos = np.flatnonzero(is_token)
-    line = line_of[pos]
+    line = line_at(pos)
     kind = kind_at[pos].copy()
     kind[data[pos] == 34] = TEXT
     kind[scalar_start[pos]] = VALUE
@@ -138,11 +160,12 @@ def index_lines(lines: list[bytes], wanted: tuple[str, ...] = ()) -> Index:
         has = nearest < len(closing)
         end[texts[has]] = closing[nearest[has]] + 1
     scalars = np.flatnonzero(kind == VALUE)
-    end[scalars] = np.flatnonzero(scalar_end) + 1
+    end[scalars] = scalar_ends
+    del mark, parity, inside, is_token, scalar, scalar_start, scalar_ends
     blob = data.tobytes()
     good: dict[bytes, bool] = {}
-    for t in scalars:
-        s = blob[pos[t]:end[t]]
+    for t, a, b in zip(scalars.tolist(), pos[scalars].tolist(), end[scalars].tolist()):
+        s = blob[a:b]
         ok = good.get(s)
         if ok is None:
             ok = good[s] = SCALAR.fullmatch(s) is not None
@@ -168,7 +191,8 @@ def index_lines(lines: list[bytes], wanted: tuple[str, ...] = ()) -> Index:
     lev = np.concatenate([level[index], level[opens] - 1])
     cls = np.concatenate([kind[index], np.full(len(opens), VALUE, np.uint8)])
     tok_line = line[token]
-    order = np.lexsort((token, lev, tok_line))
+    # one key: lines and levels fit into it, and tokens are in order before the openings are added
+    order = np.argsort((tok_line.astype(np.int64) * (int(lev.max(initial=0)) + 2) + lev + 1) * (len(pos) + 1) + token)
     token, lev, cls, tok_line = token[order], lev[order], cls[order], tok_line[order]
     if not len(token):
         out.broken = broken
@@ -216,9 +240,9 @@ def index_lines(lines: list[bytes], wanted: tuple[str, ...] = ()) -> Index:
     names: dict[bytes, int] = {}
     hashes: list[int] = []
     decoded: list[bytes] = []
-    codes = np.empty(len(keys), np.int64)
+    found_codes: list[int] = []
     from_, to = pos[token[keys]] + 1, end[token[keys]] - 1
-    for i, (a, b) in enumerate(zip(from_.tolist(), to.tolist())):
+    for a, b in zip(from_.tolist(), to.tolist()):
         raw = blob[a:b]
         code = names.get(raw)
         if code is None:
@@ -230,7 +254,8 @@ def index_lines(lines: list[bytes], wanted: tuple[str, ...] = ()) -> Index:
                 decoded.append(name)
                 names[name] = code
             names[raw] = code
-        codes[i] = code
+        found_codes.append(code)
+    codes = np.array(found_codes, np.int64)
     # a decoded name may have been met before in its plain form: unify by name
     if hashes:
         unify: dict[bytes, int] = {}

@@ -9,14 +9,15 @@ zone's transitions.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from datetime import UTC, datetime
 from functools import lru_cache
 from zoneinfo import ZoneInfo
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_ZONE = "America/Bahia"
@@ -245,5 +246,29 @@ def local_date(value: Column | str, zone: str = DEFAULT_ZONE) -> Column:
     return date(value)
 
 
+def normalised(values: DataFrame, value: str, dated: str, zone: str = DEFAULT_ZONE) -> DataFrame:
+    """``values`` with ``value_out`` and ``canonical``. Where the boolean column ``dated`` holds the
+    text is a date, out comes ``YYYY-MM-DD`` in ``zone``; else a moment, out comes UTC. Each text
+    is read once. A null text, and one that states no existing moment, has null value_out;
+    canonical is false for null. Columns of these names are replaced."""
+    kept = values.drop("value_out", "canonical")
+    names = kept.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(names.index(value)).to_pylist()
+            is_date = [bool(d) for d in batch.column(names.index(dated)).to_pylist()]
+            out: list[str | None] = [None] * len(texts)
+            for kind, read in ((True, to_local_date), (False, to_utc_text)):
+                at = [i for i, d in enumerate(is_date) if d == kind]
+                for i, v in zip(at, read([texts[i] for i in at], zone)):
+                    out[i] = v
+            forms = [bool(t and (CANONICAL_DATE if d else CANONICAL).fullmatch(t)) for t, d in zip(texts, is_date)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string()), pa.array(forms, pa.bool_())], names=[*names, "value_out", "canonical"])
+
+    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema]
+    return kept.mapInArrow(run, ", ".join([*schema, "value_out string", "canonical boolean"]))
+
+
 def is_canonical(value: Column, date: bool = False) -> Column:
     return value.rlike("^" + (CANONICAL_DATE if date else CANONICAL).pattern + r"\z")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import dataclasses
+import functools
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,11 +29,22 @@ def p2_loaded(spark: SparkSession, folder: str) -> DataFrame:
     return rejects.loaded_records(table(spark, folder, "dataset_records"))
 
 
+def _first_pass(lines: DataFrame, items: Callable[[dict], Iterable[tuple[str, str]]]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(counts, layouts, loaded): what ``items`` gives of the records that load, counted by file,
+    in the same pass that finds the layouts of the files; and the records that load."""
+    classes = cut(rejects.class_counts(lines, "dataset_id", "raw_json", items))
+    layouts = cut(rejects.file_layouts(classes))
+    counts = rejects.loading_counts(classes, layouts).where(F.col("path").isNotNull())
+    named = counts.select(F.when(F.col("_file") != "", F.substring("_file", 2, 1 << 30)).alias("file"), "path", "type", "n")
+    return cut(named), layouts, rejects.loaded_records(lines, layouts=layouts)
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     """Every change of a record or sidecar layout at the file where it happens."""
     files = table(spark, folder, "datasets").select("dataset_id", "input_path", "metadata_json", "record_count")
     order = cut(drift.file_order(files))
-    records = drift.record_drift(rejects.loaded_records(_lines(spark, folder)), order)
+    counts, _, loaded = _first_pass(_lines(spark, folder), drift.record_types)
+    records = drift.record_drift(loaded, order, counts=counts)
     sidecars = drift.sidecar_drift(files, order)
     both = records.withColumn("scope", F.lit("record")).unionByName(sidecars.withColumn("scope", F.lit("sidecar")))
     return both.select(F.col("file").alias("dataset_id"), "scope", "drift", "old_field", "new_field")
@@ -40,19 +53,25 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
 def p3_records(spark: SparkSession, folder: str) -> DataFrame:
     """All records that load as one table: fields of every layout under one name and type."""
     order = drift.file_order(table(spark, folder, "datasets").select("dataset_id", "input_path"))
-    loaded = rejects.loaded_records(_lines(spark, folder))
-    schemas = cut(drift.file_schemas(drift.header_counts(loaded, "dataset_id", "raw_json")))
-    changes = cut(drift.file_changes(schemas, order))
+    counts, _, loaded = _first_pass(_lines(spark, folder), drift.record_types)
+    changes = cut(drift.file_changes(drift.file_schemas(counts), order))
     renames = drift.best_renames(drift.scored_renames(loaded, drift.rename_candidates(changes), "dataset_id", "raw_json", "process_number"))
-    return drift.unified(loaded, ["record_id", "dataset_id"], "raw_json", *drift.union_schema(schemas, renames))
+    return drift.unified(loaded, ["record_id", "dataset_id"], "raw_json", drift.union_schema(counts, renames))
+
+
+NESTED = shred.Shape(("arquivos", "avisos", "datajud_subjects", "orgao_julgador"), encoded=frozenset({"arquivos"}), whole=frozenset({"orgao_julgador"}))
 
 
-NESTED = ["arquivos", "avisos", "datajud_subjects", "orgao_julgador"]
+def _shredded(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, shred.Shape]:
+    """(loaded records, counts of shapes, what is shredded)."""
+    counts, _, loaded = _first_pass(_lines(spark, folder), functools.partial(shred.shapes, shape=NESTED))
+    return loaded, counts, dataclasses.replace(NESTED, lists=shred.lone_lists(counts))
 
 
 def p4_adjacency(spark: SparkSession, folder: str) -> DataFrame:
     """Node, parent, label, ordinal and scalar of the nested fields of all records that load."""
-    return shred.adjacency(rejects.loaded_records(_lines(spark, folder)), NESTED, encoded=("arquivos",), whole=("orgao_julgador",))
+    loaded, _, shape = _shredded(spark, folder)
+    return shred.adjacency(loaded, shape)
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -61,8 +80,8 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def _entity(entity: str) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        adjacent = cut(p4_adjacency(spark, folder))
-        return shred.entity_table(adjacent, entity, shred.entity_labels(adjacent, entity))
+        loaded, counts, shape = _shredded(spark, folder)
+        return shred.entity_table(shred.adjacency(loaded, shape, entity=entity), entity, *shred.entity_labels(counts, entity, shape))
 
     query.__doc__ = f"The flat table of the nodes {entity}."
     return query
@@ -80,14 +99,8 @@ def p6_values(spark: SparkSession, folder: str) -> DataFrame:
     stamp, date = F.struct(F.lit("distribution_at").alias("field"), F.col("distribution_at").alias("value")), F.struct(F.lit("data_ajuizamento").alias("field"), F.col("data_ajuizamento").alias("value"))
     records = loaded.select(F.lit("dataset_records").alias("table_name"), F.col("record_id").alias("row_id"), F.explode(F.array(stamp, date)).alias("v")).select("table_name", "row_id", "v.*")
     results = scraped.select(F.lit("scrape_results").alias("table_name"), F.col("result_id").alias("row_id"), F.lit("retrieved_at").alias("field"), F.col("retrieved_at").alias("value"))
-    values = records.unionByName(results).where(F.col("value").isNotNull())
-    value, is_date = F.col("value"), F.col("field") == "data_ajuizamento"
-    return values.select(
-        "table_name", "row_id", "field",
-        value.alias("value_in"),
-        F.when(is_date, timestamps.local_date(value)).otherwise(timestamps.utc_moment(value)).alias("value_out"),
-        F.when(is_date, timestamps.is_canonical(value, date=True)).otherwise(timestamps.is_canonical(value)).alias("canonical"),
-    )
+    values = records.unionByName(results).where(F.col("value").isNotNull()).withColumn("dated", F.col("field") == "data_ajuizamento")
+    return timestamps.normalised(values, "value", "dated").select("table_name", "row_id", "field", F.col("value").alias("value_in"), "value_out", "canonical")
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,6 +1,8 @@
 """Rejects, drift, shredding and timestamps on small tables."""
 
+import dataclasses
 import json
+import time
 from datetime import UTC, datetime, timedelta
 from zoneinfo import ZoneInfo
 
@@ -91,6 +93,32 @@ def test_union_schema(spark, data):
     assert "process_number" in table.columns
 
 
+def test_union_table_loses_nothing(spark):
+    big, huge = (1 << 53) + 1, 1 << 70
+    records = [
+        {"k": 1, "x.y": "a", "n": 1, "old": "u", "b": True, "l": [1]}, {"k": 2, "n": 2.5, "b": False, "l": {"z": None}}, {"k": "seven", "n": None, "new": "v", "g": big},
+        {"old": "both", "new": "kept", "g": 5, "h": huge, "K": 9, "record_id": "mine", "more": [0], "m": big}, {"h": 1, "m": 0.5},
+    ]
+    frame = spark.createDataFrame([(i, "f", json.dumps(r)) for i, r in enumerate(records)], SCHEMA)
+    counts = drift.header_counts(frame, "dataset_id", "raw_json")
+    renames = spark.createDataFrame([("f", "old", "new")], "file string, old_field string, new_field string")
+    schema = drift.union_schema(counts, renames)
+    assert schema.columns == {"K": "integer", "b": "boolean", "g": "long", "h": "string", "k": "string", "l": "string", "m": "string", "more": "array", "n": "number", "old": "string", "record_id": "string", "x.y": "string"} and schema.column_of["new"] == "old"
+    table = drift.unified(frame, ["record_id", "dataset_id"], "raw_json", schema)
+    assert [c.lower() for c in table.columns] == sorted({c.lower() for c in table.columns}, key=[c.lower() for c in table.columns].index)
+    rows = table.orderBy("record_id").collect()
+    assert [r["k_"] for r in rows] == ["1", "2", "seven", None, None] and [r["x.y"] for r in rows][0] == "a"
+    assert (rows[2]["g"], rows[3]["g"], rows[3]["h"], rows[3]["m"]) == (big, 5, str(huge), str(big))
+    assert [r["old"] for r in rows] == ["u", None, "v", "both", None] and rows[3]["more"] == {"new": '"kept"'}
+    # every value comes back
+    few = drift.union_schema(counts, renames, most=2)
+    for schema in (schema, few):
+        got = drift.unified(frame, ["record_id", "dataset_id"], "raw_json", schema).orderBy("record_id").collect()
+        for record, row in zip(records, got):
+            held = [v for c, v in row.asDict().items() if c not in ("record_id", "dataset_id", "more") and v is not None]
+            assert len(held) + len(row["more"]) == sum(v is not None for v in record.values())
+
+
 def brute_nodes(value, path, parent, element, lists, out, decode, whole):
     if decode and isinstance(value, str):
         try:
@@ -111,6 +139,41 @@ def brute_nodes(value, path, parent, element, lists, out, decode, whole):
         out.append((parent, path))
 
 
+def shape_counts(spark, records, shape):
+    from collections import Counter
+
+    n = Counter(x for r in records for x in shred.shapes(r, shape))
+    return spark.createDataFrame([(*k, v) for k, v in n.items()], "path string, type string, n long")
+
+
+def test_shred_is_linear_in_depth(spark):
+    shape = shred.Shape(("a",))
+    value = {"z": 1}
+    for i in range(200):
+        value = [value] if i % 3 == 0 else {"k": value, "n": i}
+    began = time.perf_counter()
+    assert len(shred.shapes({"a": value}, shape)) < 1000
+    rows = shred.shred(1, {"a": value}, shape)
+    assert time.perf_counter() - began < 1 and len(rows) > 200
+    deep = '{"a":' * 30_000 + "1" + "}" * 30_000
+    got = shred.adjacency(spark.createDataFrame([(1, "f", deep), (2, "f", '{"a":{"\\ud800":"\\udfff"}}')], SCHEMA), shape).collect()
+    assert [(r["record_id"], r["kind"]) for r in got] == [(1, "unread"), (2, "node"), (2, "scalar")]
+
+
+def test_entity_table_keeps_labels_beyond_the_columns(spark):
+    shape = shred.Shape(("o",), whole=frozenset({"o"}))
+    records = [{"o": {"a": 1, "b": 2, "A": 3, "node": 4}}, {"o": {"a": 5}}]
+    frame = spark.createDataFrame([(i, "f", json.dumps(r)) for i, r in enumerate(records)], SCHEMA)
+    labels, others = shred.entity_labels(shape_counts(spark, records, shape), "o", shape, most=1)
+    assert labels == ["a"] and others
+    got = shred.entity_table(shred.adjacency(frame, shape, entity="o"), "o", labels, others).orderBy("record_id").collect()
+    assert [(r["a"], r["others"]) for r in got] == [("1", {"A": "3", "b": "2", "node": "4"}), ("5", {})]
+    labels, others = shred.entity_labels(shape_counts(spark, records, shape), "o", shape)
+    assert (labels, others) == (["A", "a", "b", "node"], False)
+    wide = shred.entity_table(shred.adjacency(frame, shape, entity="o"), "o", labels)
+    assert wide.columns == ["record_id", "node_path", "parent_path", "ordinal", "value", "A", "a_", "b", "node_"]
+
+
 def test_shred(spark, data):
     lines = [
         (1, "f", json.dumps({"a": {"n": 1, "items": [{"id": 1}, None, {"id": 2, "parts": [{"z": 1}]}]}, "l": ["x", None, "y"], "o": "text"})),
@@ -118,13 +181,17 @@ def test_shred(spark, data):
         (3, "f", json.dumps({"a": None, "l": [], "o": None})),
         (4, "f", json.dumps({"l": ["z"], "a": {"items": {"id": 3}}})),
     ]
-    got = shred.adjacency(spark.createDataFrame(lines, SCHEMA), ["a", "l", "o"], encoded=("a",), whole=("o",))
+    shape = shred.Shape(("a", "l", "o"), frozenset({"a"}), frozenset({"o"}))
+    records = spark.createDataFrame(lines, SCHEMA)
+    counts = shape_counts(spark, [json.loads(x[2]) for x in lines], shape)
+    shape = dataclasses.replace(shape, lists=shred.lone_lists(counts))
+    got = shred.adjacency(records, shape)
     nodes = sorted((r["record_id"], r["parent_path"], r["node_path"]) for r in shred.nodes(got).collect())
     assert nodes == sorted([
         (1, "", "a"), (1, "a", "a.items[0]"), (1, "a", "a.items[2]"), (1, "a.items[2]", "a.items[2].parts[0]"), (1, "", "l[0]"), (1, "", "l[2]"), (1, "", "o"),
         (2, "", "a"), (2, "", "l[0]"), (2, "", "o"), (4, "", "l[0]"), (4, "", "a"), (4, "a", "a.items[0]"),
     ])
-    rows = {r["node_path"]: r.asDict() for r in shred.entity_table(got, "a.items[]", shred.entity_labels(got, "a.items[]")).where("record_id = 1").collect()}
+    rows = {r["node_path"]: r.asDict() for r in shred.entity_table(got, "a.items[]", *shred.entity_labels(counts, "a.items[]", shape)).where("record_id = 1").collect()}
     assert rows["a.items[2]"]["id"] == "2" and rows["a.items[2]"]["ordinal"] == 2 and rows["a.items[2]"]["parent_path"] == "a"
     clash = shred.entity_table(got, "o", ["name", "value"]).where("record_id = 2").collect()[0]
     assert clash["value_"] == "3" and clash["value"] is None
@@ -136,7 +203,7 @@ def test_p4_against_brute_force(spark, data):
     lone = {"avisos", "datajud_subjects"}
     for r in problems.p2_loaded(spark, data).collect():
         rec = json.loads(r["raw_json"])
-        for f in problems.NESTED:
+        for f in problems.NESTED.fields:
             out, v = [], rec.get(f)
             if f in lone and v is not None and not isinstance(v, list):
                 v = [v]
