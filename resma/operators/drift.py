@@ -171,20 +171,20 @@ def schema_changes(old: dict[str, str], new: dict[str, str]) -> list[tuple[str,
 def file_changes(schemas: DataFrame, order: DataFrame) -> DataFrame:
     """(file, before, drift, old_field, new_field, type): each file of ``order`` (file, before)
     against the file before it; a rename still counts as removed and added."""
-    ordered = order.where(F.col("before").isNotNull())
-    new = ordered.join(schemas, "file").select("file", "before", F.lit(1).alias("side"), "path", "type")
-    old = ordered.join(schemas.withColumnRenamed("file", "before"), "before").select("file", "before", F.lit(0).alias("side"), "path", "type")
-
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        side = [dict(zip(g.path, g.type)) for g in (rows[rows.side == 0], rows[rows.side == 1])]
-        changes = schema_changes(*side) if all(side) else []
-        out = pd.DataFrame(changes, columns=["drift", "old_field", "new_field", "type"])
-        out.insert(0, "before", rows.before.iloc[0])
-        out.insert(0, "file", rows.file.iloc[0])
-        return out
-
-    # a group holds the paths of two files, never their records
-    return new.unionByName(old).groupBy("file").applyInPandas(compare, "file string, before string, drift string, old_field string, new_field string, type string")
+    ordered = order.where(F.col("before").isNotNull()).select("file", "before")
+    # one row a file: the paths of its layout, never its records
+    held = cut(schemas.groupBy("file").agg(F.collect_list("path").alias("paths"), F.collect_list("type").alias("types")))
+    of = lambda f, n: held.select(F.col("file").alias(f), F.col("paths").alias(f"paths{n}"), F.col("types").alias(f"types{n}"))
+    pairs = ordered.join(of("before", 0), "before").join(of("file", 1), "file").select("file", "before", "paths0", "types0", "paths1", "types1")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for file, before, p0, t0, p1, t1 in zip(*(c.to_pylist() for c in batch.columns)):
+                out += [(file, before, *c) for c in schema_changes(dict(zip(p0, t0)), dict(zip(p1, t1)))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in list(zip(*out)) or [[]] * 6], names=["file", "before", "drift", "old_field", "new_field", "type"])
+
+    return pairs.mapInArrow(run, "file string, before string, drift string, old_field string, new_field string, type string")
 
 
 def rename_candidates(changes: DataFrame) -> DataFrame:
