@@ -51,12 +51,14 @@ def valid_unit(rect: Column) -> Column:
 
 
 def subtract(rect: Column, cut: Column) -> Column:
-    """What of ``rect`` lies outside of ``cut``, as at most four rectangles."""
-    x0, y0 = F.greatest(rect["x0"], cut["x0"]), F.greatest(rect["y0"], cut["y0"])
-    x1, y1 = F.least(rect["x1"], cut["x1"]), F.least(rect["y1"], cut["y1"])
-    parts = F.array(box(rect["x0"], rect["y0"], x0, rect["y1"]), box(x1, rect["y0"], rect["x1"], rect["y1"]), box(x0, rect["y0"], x1, y0), box(x0, y1, x1, rect["y1"]))
-    whole = F.array(box(rect["x0"], rect["y0"], rect["x1"], rect["y1"]))
-    return F.when((x0 >= x1) | (y0 >= y1), whole).otherwise(F.filter(parts, lambda p: (p["x0"] < p["x1"]) & (p["y0"] < p["y1"])))
+    """What of ``rect`` lies outside of ``cut``: the bands above and below it over the whole width,
+    then what stands beside it; at most four rectangles."""
+    low, high = F.greatest(rect["y0"], cut["y0"]), F.least(rect["y1"], cut["y1"])
+    left, right = F.greatest(rect["x0"], cut["x0"]), F.least(rect["x1"], cut["x1"])
+    apart = (low >= high) | (left >= right)
+    bands = [(rect["x0"], rect["y0"], rect["x1"], low), (rect["x0"], high, rect["x1"], rect["y1"]), (rect["x0"], low, left, high), (right, low, rect["x1"], high)]
+    full = F.filter(F.array(*[box(*b) for b in bands]), lambda p: (p["x1"] > p["x0"]) & (p["y1"] > p["y0"]))
+    return F.when(apart, F.array(box(rect["x0"], rect["y0"], rect["x1"], rect["y1"]))).otherwise(full)
 
 
 def subtract_all(rects: Column, cuts: Column) -> Column:
@@ -67,3 +69,38 @@ def subtract_all(rects: Column, cuts: Column) -> Column:
 def text_between(words: Column, low: float, high: float) -> Column:
     """The words that begin between two heights (low inclusive, high exclusive), in order."""
     return F.array_join(F.transform(F.filter(words, lambda w: (w["y0"] >= low) & (w["y0"] < high)), lambda w: w["text"]), " ")
+
+
+def pixel_box(rect: Column, width: int, height: int) -> Column:
+    """The smallest box of whole pixels around a valid unit rectangle, else null."""
+    whole = F.struct(
+        F.floor(rect["x0"] * width).cast("int").alias("x0"), F.floor(rect["y0"] * height).cast("int").alias("y0"),
+        F.ceil(rect["x1"] * width).cast("int").alias("x1"), F.ceil(rect["y1"] * height).cast("int").alias("y1"),
+    )
+    return F.when(valid_unit(rect), whole)
+
+
+def admitted(rects: Column, least: float = 0.03, most: float = 0.97, near: float = 0.006, limit: int = 64) -> Column:
+    """Of unit rectangles, in order: the valid ones of an area from ``least`` to ``most`` (the whole
+    page too) that differ from each one kept before by ``near`` on some side; at most ``limit``
+    (a feature: what is shown for a decision)."""
+    whole = lambda r: (r["x0"] == 0) & (r["y0"] == 0) & (r["x1"] == 1) & (r["y1"] == 1)
+    fit = F.filter(rects, lambda r: valid_unit(r) & (area(r) >= least) & ((area(r) <= most) | whole(r)))
+    apart = lambda a, b: F.greatest(*[F.abs(a[c] - b[c]) for c in ("x0", "y0", "x1", "y1")]) >= near
+    kept = F.reduce(fit, F.slice(fit, 1, 0), lambda done, r: F.when(F.forall(done, lambda k: apart(r, k)), F.concat(done, F.array(r))).otherwise(done))
+    return F.slice(kept, 1, limit)
+
+
+def graphics(rects: Column) -> Column:
+    """Unit rectangles of the size of a picture or code, not of a scanned strip."""
+    return F.filter(rects, lambda r: valid_unit(r) & (area(r) > 0.0001) & (area(r) < 0.15) & (r["x1"] - r["x0"] < 0.6) & (r["y1"] - r["y0"] < 0.45))
+
+
+def cropped(words: Column, rect: Column) -> Column:
+    """Words whose centre lies in ``rect``, in the unit square of that rectangle; clipped at its edges."""
+    w, h = rect["x1"] - rect["x0"], rect["y1"] - rect["y0"]
+    zero, one = F.lit(0.0), F.lit(1.0)
+    unit = lambda v, low, size: F.least(one, F.greatest(zero, (v - low) / size))
+    return F.transform(F.filter(words, lambda x: centre_in(x, rect)), lambda x: F.struct(
+        unit(x["x0"], rect["x0"], w).alias("x0"), unit(x["y0"], rect["y0"], h).alias("y0"), unit(x["x1"], rect["x0"], w).alias("x1"), unit(x["y1"], rect["y0"], h).alias("y1"), x["text"].alias("text"),
+    ))

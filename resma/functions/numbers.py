@@ -45,9 +45,9 @@ def seeded_rank(seed: int | str, x: Column) -> Column:
     return F.sha2(F.concat_ws(":", F.lit(str(seed)), x), 256)
 
 
-def canonical_digest(*columns: Column) -> Column:
-    """SHA-256 of the values as JSON; null members are left out."""
-    return F.sha2(F.to_json(F.struct(*columns)), 256)
+def canonical_digest(**members: Column) -> Column:
+    """SHA-256 of the values as a JSON object, members in order of name; null members are left out."""
+    return F.sha2(F.to_json(F.struct(*[members[k].alias(k) for k in sorted(members)])), 256)
 
 
 def document_path(number: Column, retrieved: Column, sha256: Column) -> Column:
@@ -65,3 +65,17 @@ def retry_wait(attempt: Column, retry_after: Column, now: Column, waits: tuple[f
     until = F.when(moment.isNotNull(), F.greatest(F.lit(0.0), (F.unix_micros(moment) - F.unix_micros(now)) / 1e6))
     own = F.element_at(F.array(*map(F.lit, waits)), F.least(F.greatest(attempt, F.lit(1)), F.lit(len(waits))))
     return F.coalesce(seconds, until, own)
+
+
+def retry(attempt: Column, retry_after: Column, now: Column, jitter: Column, pause: float = 60.0, waits: tuple[float, ...] = (5.0, 15.0)) -> Column:
+    """struct<wait, pause>: ``retry_wait``, to which ``jitter`` (seconds) is added where the server
+    asks for no time of its own, and whether what it asks is so long that the batch pauses."""
+    asked = retry_wait(F.lit(1), retry_after, now, (-1.0,))
+    own = retry_wait(attempt, F.lit(None).cast("string"), now, waits) + F.coalesce(jitter, F.lit(0.0))
+    return F.struct(F.when(asked >= 0, asked).otherwise(own).alias("wait"), (asked > pause).alias("pause"))
+
+
+def worker_limit(requested: Column, memory_mb: Column, file_bytes: Column, each_mb: int = 512) -> Column:
+    """How many workers of ``each_mb`` and the file's size fit into the memory: 1 to ``requested``."""
+    need = F.lit(each_mb) + F.ceil(F.coalesce(file_bytes, F.lit(0)) / (1 << 20))
+    return F.greatest(F.lit(1), F.least(requested, F.floor(memory_mb / need))).cast("int")

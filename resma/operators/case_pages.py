@@ -6,13 +6,14 @@ import codecs
 import re
 import unicodedata
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html.parser import HTMLParser
 from urllib.parse import parse_qs, urlsplit
 
 import pandas as pd
 from pyspark.sql import DataFrame
 
-BOMS = ((codecs.BOM_UTF8, "utf-8"), (codecs.BOM_UTF16_LE, "utf-16-le"), (codecs.BOM_UTF16_BE, "utf-16-be"))
+BOMS = ((codecs.BOM_UTF8, "utf-8"), (codecs.BOM_UTF32_LE, "utf-32-le"), (codecs.BOM_UTF32_BE, "utf-32-be"), (codecs.BOM_UTF16_LE, "utf-16-le"), (codecs.BOM_UTF16_BE, "utf-16-be"))
 DECLARED = re.compile(rb"<meta[^>]{0,200}?charset\s*=\s*[\"']?\s*([A-Za-z0-9_-]+)", re.I)
 HEADER = re.compile(r"charset\s*=\s*\"?([A-Za-z0-9_-]+)", re.I)
 SCHEMA = "key string, title string, links array<string>, label string, value string, error string"
@@ -47,6 +48,9 @@ class Page(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.title, self.links, self.rows = "", [], []
+        #: links with their text
+        self.anchors: list[tuple[str, str]] = []
+        self.open_anchor: tuple[str, list[str]] | None = None
         self.inside: list[str] | None = None
         self.in_title = self.skip = False
 
@@ -58,6 +62,7 @@ class Page(HTMLParser):
             self.skip = True
         elif tag == "a" and attrs.get("href"):
             self.links.append(attrs["href"])
+            self.open_anchor = (attrs["href"], [])
         elif tag == "tr":
             self.rows.append([])
         elif tag in ("td", "th"):
@@ -68,6 +73,9 @@ class Page(HTMLParser):
             self.in_title = False
         elif tag in ("script", "style"):
             self.skip = False
+        elif tag == "a" and self.open_anchor:
+            self.anchors.append((self.open_anchor[0], " ".join("".join(self.open_anchor[1]).split())))
+            self.open_anchor = None
         elif tag in ("td", "th") and self.inside is not None:
             if not self.rows:
                 self.rows.append([])
@@ -79,6 +87,8 @@ class Page(HTMLParser):
             return
         if self.in_title:
             self.title += data
+        if self.open_anchor:
+            self.open_anchor[1].append(data)
         if self.inside is not None:
             self.inside.append(data)
 
@@ -131,10 +141,77 @@ def labelled_cells(pages: DataFrame, key: str, content: str, labels: list[str],
     return pages.select(*asked).mapInPandas(run, schema)
 
 
-def special_page(page: Page, expired: tuple[str, ...] = ("sessao expirada", "sessao encerrada"), challenge: tuple[str, ...] = ("captcha", "verificacao de seguranca", "confirme que voce e humano")) -> str | None:
-    """``expired`` or ``challenge`` if the title or the cells of a page say so; expiry comes first."""
+#: Longest page, in characters, that is taken for a challenge by a phrase of its text alone.
+SHORT_PAGE = 500_000
+
+
+def special_page(
+    page: Page, content: str = "", expired: tuple[str, ...] = ("sessao expirada", "sessao encerrada", "sessao expirou"), challenge: tuple[str, ...] = ("captcha", "verificacao de seguranca", "confirme que voce e humano"), markers: tuple[str, ...] = ("recaptcha",), phrases: tuple[str, ...] = ("nao sou um robo",)
+) -> str | None:
+    """``expired`` or ``challenge`` if the title or the cells of a page say so, or its markup
+    ``content`` holds a marker, or it is short and holds a phrase; expiry comes first."""
     title, body = plain(page.title), " ".join(plain(c) for row in page.rows for c in row)
     for name, marks in (("expired", expired), ("challenge", challenge)):
         if any(m in title or m in body for m in marks):
             return name
+    low = content.lower()
+    if any(m in low for m in markers) or (len(content) < SHORT_PAGE and any(p in plain(content) for p in phrases)):
+        return "challenge"
     return None
+
+
+def tri_state(text: str | None, yes: tuple[str, ...] = ("sim",), no: tuple[str, ...] = ("nao",)) -> bool | None:
+    """True or False if a text says yes or no, None if it says neither or is missing."""
+    said = plain(text) if text is not None else None
+    return True if said in yes else False if said in no else None
+
+
+@dataclass
+class Labels:
+    """How a site's case page names what is read of it; ``link``: path and parameter of the links that bear the identity."""
+
+    secrecy: str
+    distribution: str
+    subject: str
+    link: tuple[str, str]
+
+
+CASE = "number string, internal_id string, is_secret boolean, distribution string, subject string, error string"
+
+
+def read_case(content: bytes | None, content_type: str | None, labels: Labels, number: str | None = None, internal_id: str | None = None) -> tuple:
+    """The cells of CASE. The first link of the right path with one parameter and digits bears the
+    internal id, its text the number. error: ``empty``, ``expired``, ``challenge``, ``identity`` (another
+    case, or no link, where one is expected), ``distribution`` (missing). A case that is secret, or not
+    clearly public, has its identity only."""
+    page = read_page(content, content_type)
+    if page is None:
+        return (None,) * 5 + ("empty",)
+    if kind := special_page(page, decoded(content, content_type)):
+        return (None,) * 5 + (kind,)
+    found = next(((t, v) for u, t in page.anchors if (v := only_parameter(u, *labels.link)) and v.isdigit()), None)
+    if (number or internal_id) and (found is None or (number and found[0] != number) or (internal_id and found[1] != internal_id)):
+        return (None,) * 5 + ("identity",)
+    own, ident = found or (number, None)
+    secret = tri_state(after_label(page, labels.secrecy))
+    if secret is not False:
+        return own, ident, secret, None, None, None
+    when = after_label(page, labels.distribution)
+    return own, ident, False, when, after_label(page, labels.subject), None if when else "distribution"
+
+
+def case_rows(pages: DataFrame, key: str, content: str, labels: Labels, content_type: str | None = None, number: str | None = None, internal_id: str | None = None) -> DataFrame:
+    """(key, CASE) of case pages, as ``read_case`` tells it; ``number`` and ``internal_id``: columns of what is expected."""
+    asked = [c for c in (content_type, number, internal_id) if c]
+    schema = f"`{key}` {pages.schema[key].dataType.simpleString()}, {CASE}"
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for row in frame.itertuples(index=False):
+                more = dict(zip(asked, (v if isinstance(v, str) else None for v in row[2:])))
+                raw = row[1].encode() if isinstance(row[1], str) else row[1]
+                out.append((row[0], *read_case(bytes(raw) if raw is not None else None, more.get(content_type), labels, more.get(number), more.get(internal_id))))
+            yield pd.DataFrame(out, columns=[key, *(x.split()[0] for x in CASE.split(", "))])
+
+    return pages.select(key, content, *asked).mapInPandas(run, schema)

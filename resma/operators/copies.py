@@ -131,3 +131,12 @@ def near_classes(docs: DataFrame, key: str = "doc_id", content: str = "text", le
     joined = joined_copies(overlapping_pairs(sets, "key", "words", least, side))
     classes = firsts.join(joined, "key", "left").select("h", F.coalesce("first", "key").alias("class_id"))
     return hashed.join(classes, "h").select(F.col("key").alias(key), "class_id")
+
+
+def equal_lists(items: DataFrame, entity: list[str], order: str, content: str, name: str) -> DataFrame:
+    """(fingerprint, first_<...>, copies, sources) of entities whose items, in order, are equal.
+    Each item is hashed where it is read, so an entity's list is one of hashes."""
+    parts = items.select(*entity, F.struct(order, F.coalesce(content, F.lit("")).alias("t")).alias("p"))
+    whole = parts.groupBy(*entity).agg(F.sort_array(F.collect_list("p")).alias("ps"))
+    marked = whole.select(*entity, F.sha2(F.array_join(F.transform("ps", lambda p: p["t"]), "\x1f"), 256).alias("fingerprint"))
+    return marked.groupBy("fingerprint").agg(F.min(name).alias("first_source"), F.count("*").alias("copies"), F.sort_array(F.collect_list(name)).alias("sources"))

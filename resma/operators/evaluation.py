@@ -32,18 +32,43 @@ def matched(predicted: DataFrame, occurrences: DataFrame, entity: str, item: str
     return out.select(entity, item, gold, verdict.alias("verdict"))
 
 
-def scores(verdicts: DataFrame, golds: DataFrame, entity: str, gold: str, useful: Column) -> DataFrame:
-    """Counters by entity: gold, produced, exact, useful, missed, boundaries, false_outputs.
-    ``useful`` is a condition on the verdict rows that only counts for exact ones."""
+#: Counters of an entity; all sums of totals.
+COUNTERS = (
+    "gold", "produced", "delivered", "exact", "useful", "delivered_good", "missed", "false_outputs", "boundaries", "residual_pages", "damaged_pages", "quarantined",
+    "clean_outputs", "preserved_outputs", "uncertain_outputs", "foreign_pages",
+)
+
+
+def scores(verdicts: DataFrame, golds: DataFrame, entity: str, item: str, gold: str, reviews: DataFrame | None = None, sources: DataFrame | None = None) -> DataFrame:
+    """The COUNTERS by entity, with status and source_uncertain.
+
+    ``reviews``: entity, item, delivered (boolean), residual, damaged, foreign (numbers of pages),
+    uncertain (boolean); nulls count as not delivered, 0 and certain; an item without a review is
+    delivered and faultless. useful: exact, delivered, certain and without any such page. ``sources``:
+    entity, status, uncertain. An entity with golds only has produced nothing, one with items only no golds.
+    """
+    flags = {"delivered": "boolean", "residual": "long", "damaged": "long", "foreign": "long", "uncertain": "boolean"}
+    if reviews is None:
+        told = verdicts.select(entity, item, "verdict", *[F.lit(c == "delivered" if t == "boolean" else 0).cast(t).alias(c) for c, t in flags.items()])
+    else:
+        known = reviews.select(entity, item, *[F.coalesce(F.col(c), F.lit(False if t == "boolean" else 0)).cast(t).alias(c) for c, t in flags.items()])
+        told = verdicts.select(entity, item, "verdict").join(known, [entity, item], "left").fillna(0, ["residual", "damaged", "foreign"]).fillna(False, ["uncertain"]).fillna(True, ["delivered"])
     exact = F.col("verdict") == "exact"
-    made = verdicts.groupBy(entity).agg(
-        F.count("*").alias("produced"), F.count_if(exact).alias("exact"), F.count_if(exact & F.coalesce(useful, F.lit(False))).alias("useful"),
-        F.count_if(F.col("verdict") == "boundary").alias("boundaries"), F.count_if(F.col("verdict") == "false").alias("false_outputs"),
-    )
+    clean, preserved = (F.col("residual") == 0) & ~F.col("uncertain"), (F.col("damaged") == 0) & ~F.col("uncertain")
+    useful = exact & F.col("delivered") & clean & preserved & (F.col("foreign") == 0)
+    counts = {
+        "produced": F.lit(True), "delivered": F.col("delivered"), "exact": exact, "useful": useful, "delivered_good": useful, "false_outputs": F.col("verdict") == "false",
+        "boundaries": F.col("verdict") == "boundary", "quarantined": ~F.col("delivered"), "clean_outputs": clean, "preserved_outputs": preserved, "uncertain_outputs": F.col("uncertain"),
+    }
+    made = told.groupBy(entity).agg(*[F.count_if(c).alias(n) for n, c in counts.items()], *[F.sum(c).alias(f"{c}_pages") for c in ("residual", "damaged", "foreign")])
     want = golds.select(entity, gold).distinct().groupBy(entity).agg(F.count("*").alias("gold"))
     both = want.join(made, entity, "full_outer")
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
-    out = both.select(entity, *[zero(c) for c in ("gold", "produced", "exact", "useful", "boundaries", "false_outputs")])
+    if sources is not None:
+        both = both.join(sources.select(entity, "status", F.coalesce("uncertain", F.lit(False)).alias("source_uncertain")), entity, "full_outer")
+    else:
+        both = both.withColumn("status", F.lit(None).cast("string")).withColumn("source_uncertain", F.lit(False))
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
+    out = both.select(entity, *[zero(c) for c in COUNTERS if c != "missed"], "status", F.coalesce("source_uncertain", F.lit(False)).alias("source_uncertain"))
     return out.withColumn("missed", F.col("gold") - F.col("exact"))
 
 
@@ -52,12 +77,25 @@ def ratio(part: Column, whole: Column) -> Column:
     return F.try_divide(part.cast("double"), whole.cast("double"))
 
 
-def totals(scored: DataFrame, least: float = 0.8) -> DataFrame:
-    """Sums, coverage, recall, precision and whether both useful coverage and precision reach
-    ``least`` (a missing ratio does not pass)."""
-    t = scored.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("gold", "produced", "exact", "useful", "missed", "boundaries", "false_outputs")])
-    t = t.withColumn("coverage", ratio(F.col("useful"), F.col("gold"))).withColumn("recall", ratio(F.col("exact"), F.col("gold"))).withColumn("precision", ratio(F.col("exact"), F.col("produced")))
-    return t.withColumn("passed", F.coalesce((F.col("coverage") >= least) & (F.col("precision") >= least), F.lit(False)))
+#: Ratios of totals: what over what.
+RATIOS = {
+    "coverage": ("useful", "gold"), "reliability": ("delivered_good", "delivered"), "recall": ("exact", "gold"), "precision": ("exact", "produced"),
+    "cleaning_rate": ("clean_outputs", "produced"), "preservation_rate": ("preserved_outputs", "produced"),
+}
+
+
+def totals(scored: DataFrame, least: float = 0.8, pending: int = 0) -> DataFrame:
+    """One row: the sums of COUNTERS, the RATIOS, numbers of entities (positive, negative,
+    false_positive, needing_review, error, inconclusive) and passed: coverage and reliability reach
+    ``least``, nothing is pending and no source is uncertain. A missing ratio does not pass."""
+    n = {
+        "positive": F.col("gold") > 0, "negative": F.col("gold") == 0, "false_positive": (F.col("gold") == 0) & (F.col("produced") > 0),
+        "needing_review": F.col("status") == "needs_review", "error": F.col("status") == "error", "inconclusive": F.col("source_uncertain"),
+    }
+    t = scored.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTERS], *[F.count_if(c).alias(k) for k, c in n.items()])
+    t = t.withColumns({k: ratio(F.col(a), F.col(b)) for k, (a, b) in RATIOS.items()})
+    reached = (F.col("coverage") >= least) & (F.col("reliability") >= least) & (F.col("inconclusive") == 0) & F.lit(pending == 0)
+    return t.withColumn("passed", F.coalesce(reached, F.lit(False)))
 
 
 def same_sets(a: DataFrame, b: DataFrame) -> bool:

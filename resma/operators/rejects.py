@@ -89,6 +89,14 @@ def index_records(lines: DataFrame, raw: str = "raw_json") -> DataFrame:
     return lines.mapInArrow(run, ", ".join([*out_type, INDEX_SCHEMA]))
 
 
+def strict_objects(lines: DataFrame, raw: str = "raw_json", out: str = "record") -> DataFrame:
+    """``lines`` with ``out``: the record as a variant where the line is one strict JSON object
+    without repeated keys, else null. The strictness is the index's: the engine's own parser
+    takes the first value of a line and passes over what follows it."""
+    indexed = index_records(lines.drop(out), raw)
+    return indexed.withColumn(out, F.when(F.col("_state") == OBJECT, F.try_parse_json(raw))).drop(*JUDGEMENT)
+
+
 #: What decides, with its file's layouts, whether a line loads.
 CLASS = ["_file", "_state", "_layout", "_width", "_number_ok", "_id_kind"]
 

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import random
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from resma.functions.numbers import seeded_rank
+from resma.plans.lookup import lookup
+
+
+#: Parts into which a stratum is split before its first rows meet.
+PARTS = 64
 
 
 def uniform_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
@@ -43,9 +49,12 @@ def quota_sample(df: DataFrame, key: str, stratum_column: str, n: int, seed: int
     sizes = df.groupBy(stratum_column).agg(F.count("*").alias("size"))
     quota = quotas(sizes, n, seed, stratum_column)
     ranked = df.withColumn("rank", seeded_rank(seed, F.col(key)))
-    nth = F.row_number().over(Window.partitionBy(stratum_column).orderBy("rank", key))
-    joined = ranked.join(quota.drop("size"), stratum_column)
-    picked = joined.withColumn("_nth", nth).where(F.col("_nth") <= F.col("quota")).drop("_nth", "quota")
+    joined = lookup(ranked, quota.drop("size"), stratum_column, how="inner")
+    # a stratum may hold most rows: the first of each part of it are told before they meet
+    parts = Window.partitionBy(stratum_column, F.pmod(F.xxhash64(key), F.lit(PARTS))).orderBy("rank", key)
+    first = joined.withColumn("_nth", F.row_number().over(parts)).where(F.col("_nth") <= F.col("quota"))
+    whole = Window.partitionBy(stratum_column).orderBy("rank", key)
+    picked = first.withColumn("_nth", F.row_number().over(whole)).where(F.col("_nth") <= F.col("quota")).drop("_nth", "quota")
     few = joined.where(F.col("quota").isNull()).drop("quota").orderBy("rank", key).limit(n)
     return picked.unionByName(few)
 
@@ -105,6 +114,39 @@ def split(df: DataFrame, key: str, sizes: dict[str, int], seed: int) -> DataFram
     return first.withColumn("_place", place).withColumn("role", role).drop("_place")
 
 
+def checked_split(df: DataFrame, keys: list[str], sizes: dict[str, int], seed: int) -> DataFrame:
+    """``split`` by the first of ``keys``, refused where there are fewer rows than seats or a value
+    of any of ``keys`` would stand in two roles."""
+    chosen = split(df, keys[0], sizes, seed)
+    have = chosen.count()
+    if have < sum(sizes.values()):
+        raise ValueError(f"{have} rows for {sum(sizes.values())} seats")
+    for k in keys:  # at most the sum of the sizes
+        if not chosen.where(F.col(k).isNotNull()).groupBy(k).agg(F.countDistinct("role").alias("roles")).where("roles > 1").isEmpty():
+            raise ValueError(f"roles share a {k}")
+    return chosen
+
+
+def prng_split(df: DataFrame, key: str, sizes: dict[str, int], seed: int) -> DataFrame:
+    """(key, role): each role drawn by Python's generator (seed, seed + 1, ...) from the keys in
+    order that no earlier role has. The keys come to the driver: for catalogs, not for corpora;
+    ``split`` is the form without that bound."""
+    left = sorted(r[key] for r in df.select(key).distinct().collect())
+    rows = []
+    for i, (role, n) in enumerate(sizes.items()):
+        if n > len(left):
+            raise ValueError(f"{len(left)} rows for {n} seats")
+        drawn = set(random.Random(seed + i).sample(left, n))
+        rows += [(k, role) for k in sorted(drawn)]
+        left = [k for k in left if k not in drawn]
+    return df.sparkSession.createDataFrame(rows, f"`{key}` {df.schema[key].dataType.simpleString()}, role string")
+
+
+def split_summary(corpus: DataFrame, available: Column, excluded: Column, role: str = "role") -> DataFrame:
+    """One row: rows of the corpus, available ones, excluded ones, and those of each part."""
+    return corpus.agg(F.count("*").alias("corpus"), F.count_if(F.coalesce(available, F.lit(False))).alias("available"), F.count_if(F.coalesce(excluded, F.lit(False))).alias("excluded"), F.count(role).alias("chosen"))
+
+
 def sampling_report(population: DataFrame, selected: DataFrame, key: str, dimensions: list[str]) -> DataFrame:
     """(dimension, value, population, selected) for every value of every dimension, in one pass
     over the rows; null values count as the text ``null``."""

