@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from resma.plans.cut import cut
 
 CAPACITY = 2048
-#: Hash buckets over which the documents of one length are ranked; a length that a third of all texts have is ranked in so many parts.
-RANK_BUCKETS = 256
+#: Rows of one hash bucket over which the documents of one length are ranked, on average; a length
+#: that a third of all texts have is ranked in as many parts as its rows ask for.
+ROWS = 50_000
 
 
 @dataclass
@@ -92,7 +93,7 @@ def pieces(sized: DataFrame, capacity: int = CAPACITY, tokens: str = "n_tokens")
     return each.withColumn("piece_from", start).withColumn("piece_tokens", F.least(F.lit(capacity), F.col(tokens) - start).cast("int"))
 
 
-def ranked(items: DataFrame, length: str, order: list[str], buckets: int = RANK_BUCKETS) -> DataFrame:
+def ranked(items: DataFrame, length: str, order: list[str], buckets: int) -> DataFrame:
     """``items`` with ``rank`` (from 0) among those of the same length, without ever bringing
     the items of one length together: ranks within hash buckets plus the buckets' offsets."""
     bucketed = items.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
@@ -103,7 +104,7 @@ def ranked(items: DataFrame, length: str, order: list[str], buckets: int = RANK_
     return bucketed.withColumn("_within", within).join(offsets, [length, "_bucket"]).withColumn("rank", F.col("_offset") + F.col("_within")).drop("_bucket", "_within", "_offset")
 
 
-def pack(sized: DataFrame, key: str = "doc_id", tokens: str = "n_tokens", capacity: int = CAPACITY) -> DataFrame:
+def pack(sized: DataFrame, key: str = "doc_id", tokens: str = "n_tokens", capacity: int = CAPACITY, rows: int = ROWS) -> DataFrame:
     """Container and place of each piece of each text.
 
     ``sized`` has one row per text with ``key`` and ``tokens``. Result: key, piece, piece_from,
@@ -111,6 +112,7 @@ def pack(sized: DataFrame, key: str = "doc_id", tokens: str = "n_tokens", capaci
     fill (tokens in the container). Texts without tokens (null, empty) take no room and have
     null container, place, start and fill. A repeated key counts as another text. An empty table gives
     an empty result. The result does not depend on the order or partitioning of the input.
+    ``rows``: rows of a ranking bucket; which of the texts of one length go where depends on it.
     """
     spark: SparkSession = sized.sparkSession
     items = cut(pieces(sized.select(key, F.coalesce(F.col(tokens), F.lit(0)).alias(tokens)), capacity, tokens).drop(tokens))
@@ -119,8 +121,8 @@ def pack(sized: DataFrame, key: str = "doc_id", tokens: str = "n_tokens", capaci
     schema = "piece_tokens int, _from long, _to long, _container long, _each int, _place int, _start int, fill int"
     # at most one row per length of each pattern: bounded by the capacity, not by the data
     table = F.broadcast(spark.createDataFrame(found, schema))
-    # full pieces fill a container of their own and need no rank beyond their number
-    order = ranked(items.where(F.col("piece_tokens") > 0), "piece_tokens", [key, "piece"])
+    # as many buckets as the most frequent length needs
+    order = ranked(items.where(F.col("piece_tokens") > 0), "piece_tokens", [key, "piece"], max(1, -(-max(histogram.values(), default=0) // rows)))
     placed = order.join(table, (order["piece_tokens"] == table["piece_tokens"]) & (F.col("rank") >= F.col("_from")) & (F.col("rank") < F.col("_to"))).drop(table["piece_tokens"])
     nth = F.col("rank") - F.col("_from")
     each = F.col("_each").cast("long")

@@ -50,7 +50,6 @@ MAX_WORDS, MAX_PAIRS = 300_000, 1_000_000
 RARER = 25
 LEAST_WORD = 3
 EDGE = 3
-MAX_SOURCES = 400_000
 
 WORD_ROW, PAIR_ROW, EDGE_ROW, INNER_ROW, INNER_HEAD_ROW = range(5)
 #: Characters of a key that tell furniture of other sources apart from running text.
@@ -568,13 +567,13 @@ def read_pages(pages: DataFrame, found: bool, key: str = "page_id", source: str
     known = cut(known)
     rows.unpersist()
     sent = pages.sparkSession.sparkContext.broadcast((model, common))  # bounded by MAX_WORDS and MAX_PAIRS
-    ready = lookup(named.where(F.col("text") != "") if found else named, known, "source", max_rows=MAX_SOURCES)
+    ready = lookup(named.where(F.col("text") != "") if found else named, known, "source")
     if not found:
         place = lambda n: F.when(F.col("source").isNotNull() & n.isNotNull(), F.to_json(F.array(F.col("source").cast("string"), "part", n.cast("string"))))
         number = F.col("page_number").cast("long")
         # rows without a place are spread by their text
         ready = ready.withColumns({"next_place": place(number + 1), "place": F.coalesce(place(number), F.concat(F.lit("#"), F.xxhash64("text").cast("string")))})
-        ready = lookup(ready, carried(ready, sent), "place", max_rows=MAX_SOURCES, salts=1)
+        ready = lookup(ready, carried(ready, sent), "place", salts=1)
     ready = ready.select("key", "page_number", "known", "text", *([] if found else ["rest", "taken"]))
     kind = pages.schema[key].dataType.simpleString()
 

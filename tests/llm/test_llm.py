@@ -108,7 +108,7 @@ def test_shares_and_caps(spark):
     docs = [(i, "big" if i % 3 else "mid", rnd.randrange(50, 500)) for i in range(3000)] + [(5000 + i, "tiny", 100) for i in range(30)] + [(9000, "other", 10), (9001, None, 10), (9002, "big", 0)]
     sized = spark.createDataFrame(docs, "doc_id long, source string, n_tokens int")
     targets = spark.createDataFrame([("big", 0.5, 1), ("mid", 0.39, 2), ("tiny", 0.1, 4), ("none", 0.01, 1)], "source string, target_share double, max_repeats int")
-    selection, shares = mixing.mix(sized, targets, buckets=16)
+    selection, shares = mixing.mix(sized, targets, rows=20)
     got = {r["source"]: r for r in shares.collect()}
     for name, want in (("big", 0.5 / 0.99), ("mid", 0.39 / 0.99), ("tiny", 0.1 / 0.99)):
         assert abs(got[name]["actual_share"] - want) < 0.02
@@ -118,9 +118,9 @@ def test_shares_and_caps(spark):
     assert all(1 <= r["repeats"] <= caps[r["source"]] for r in rows) and len({r["doc_id"] for r in rows}) == len(rows)
     total = sum(r["n_tokens"] * r["repeats"] for r in rows)
     assert total == sum(r["selected_tokens"] for r in got.values())
-    some, part = mixing.mix(sized, targets, budget=5000, buckets=16)
+    some, part = mixing.mix(sized, targets, budget=5000, rows=20)
     assert 4000 <= sum(r["selected_tokens"] for r in part.collect()) <= 5000
-    same = {(r["doc_id"], r["repeats"]) for r in mixing.mix(sized.repartition(7), targets, buckets=16)[0].collect()}
+    same = {(r["doc_id"], r["repeats"]) for r in mixing.mix(sized.repartition(7), targets, rows=20)[0].collect()}
     assert same == {(r["doc_id"], r["repeats"]) for r in rows}
     empty, none = mixing.mix(sized.limit(0), targets)
     assert empty.count() == 0 and none.count() == 4
@@ -350,3 +350,39 @@ def test_prune_and_empty_labels(spark):
     docs = spark.createDataFrame([(1, "texto")], "doc_id long, text string")
     rules = areas.mine(areas.labelled_sample(docs, spark.createDataFrame([], "doc_id long, area string")))
     assert [r["area"] for r in areas.assign(docs, rules).collect()] == ["procedure"]
+
+
+@pytest.mark.parametrize("budget", [None, 60_000])
+def test_mix_keeps_buckets_even(spark, monkeypatch, budget):
+    """Shares of 99 to 1 against stocks of 1 to 99: no bucket of time or order holds much of the rows, and what is served is what one queue serves."""
+    held = []
+    plain = mixing.running_total
+
+    def watched(rows, groups, bucket, order, amount, out):
+        n = [r["count"] for r in rows.groupBy(*groups, bucket).count().collect()]
+        held.append(max(n) / sum(n))
+        return plain(rows, groups, bucket, order, amount, out)
+
+    monkeypatch.setattr(mixing, "running_total", watched)
+    docs = [(i, "small" if i < 40 else "large", 20 + i % 7) for i in range(4000)]
+    sized = spark.createDataFrame(docs, "doc_id long, source string, n_tokens int")
+    targets = spark.createDataFrame([("small", 0.99, 3), ("large", 0.01, 2)], "source string, target_share double, max_repeats int")
+    got = {r["doc_id"]: r["repeats"] for r in mixing.mix(sized, targets, budget=budget, rows=10)[0].collect()}
+    assert max(held) < 1 / 16
+    order = {r["doc_id"]: r["h"] for r in sized.select("doc_id", F.xxhash64(F.lit(17), F.col("doc_id")).alias("h")).collect()}
+    queue, stock = [], {s: sum(t for _, x, t in docs if x == s) for s in ("small", "large")}
+    for s, w, cap in (("small", 0.99, 3), ("large", 0.01, 2)):
+        own = sorted((d for d in docs if d[1] == s), key=lambda d: (order[d[0]], d[0]))
+        for k in range(cap):
+            run = 0
+            for d in own:
+                run += d[2]
+                queue.append(((k * stock[s] + run) / w, s, d[0], k, d[2]))
+    total = budget or min(stock["small"] * 3 / 0.99, stock["large"] * 2 / 0.01)
+    want, served = {}, 0
+    for _, _, i, _, t in sorted(queue):
+        served += t
+        if served > total:
+            break
+        want[i] = want.get(i, 0) + 1
+    assert got == want
