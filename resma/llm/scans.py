@@ -1,10 +1,11 @@
 """Text of scanned pages repaired into continuous paragraphs.
 
-Words are repaired through a noisy channel: each word that the corpus does not know is
-expanded by the ways characters are misread, weighted by their probabilities, and the likeliest
-row of words of a line under the corpus's word pairs is found by Viterbi. Running headers and
-footers are lines that come back at the edges of one source's pages. All counts are made over
-all pages; what reaches the driver is the language model, bounded by MAX_WORDS and MAX_PAIRS.
+Words are repaired through a noisy channel: each word that the corpus does not know, or that
+may be another, is expanded by the ways characters are misread, weighted by probabilities that
+are estimated from the corpus, and the likeliest row of words under the corpus's word pairs is
+found by Viterbi. Running headers and footers are lines that come back at the edges of one
+source's pages. All counts are made over all pages; what reaches the driver is the language
+model: words and pairs above a share of all tokens, so at most one by that share of each.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from resma.plans.cut import cut
 from resma.plans.lookup import lookup
 
-# How characters are misread, seen -> meant with the share of the meant character so read.
+# How characters can be misread, seen -> meant. How often each happens is estimated (``channel``).
 CONFUSIONS = {
     "0": ["o"], "1": ["l", "i"], "!": ["i", "l"], "|": ["l", "i"], "5": ["s"], "$": ["s"], "9": ["g", "q"], "6": ["b", "é", "ó"], "2": ["z"], "8": ["b"], "3": ["e"], "4": ["a"], "7": ["t"],
     "@": ["a"], "€": ["e"], "£": ["e"], "ſ": ["f", "s"], "ﬁ": ["fi"], "ﬂ": ["fl"], "c": ["e", "o"], "e": ["c"], "o": ["c"], "u": ["n"], "n": ["u"], "f": ["t"], "t": ["f"], "v": ["u", "y"], "y": ["v"],
@@ -35,8 +36,9 @@ CONFUSIONS = {
     "�": list("áàâãçéêíóôõú"),
 }
 STRANGE = frozenset("0123456789!|$@€£ſﬁﬂ�~`·^")
-#: Log share of a character misread in a given way, and per further edit.
+#: Log share of a character misread in a given way before it is estimated, and weight of that share in occurrences.
 MISREAD_LOG = math.log(2e-3)
+PRIOR = 2000.0
 MOST_EDITS = 3
 
 HYPHENS = "-­‐‑¬"
@@ -44,11 +46,15 @@ HYPHENS = "-­‐‑¬"
 AROUND = ".,;:()[]{}\"“”‘’«»?…"
 NOT_WORD = re.compile(r"@[\w-]+\.|\d{2}|^\d|^[A-Z]{1,3}\d|^www\.|^\W*$|^[^\W\d_]\.?$")
 
-#: The language model: most words and word pairs, the most frequent first.
-MAX_WORDS, MAX_PAIRS = 300_000, 1_000_000
+#: Least count of a word or pair, and least share of all tokens: there are at most 1 / share of either, whatever the corpus.
+LEAST_WORD = 3
+WORD_SHARE, PAIR_SHARE = 1e-7, 3e-7
+#: Least share of all sources that have furniture which others share.
+SOURCE_SHARE = 1e-6
 #: A word so many times rarer than one it may be a misreading of is taken for that.
 RARER = 25
-LEAST_WORD = 3
+#: Two known words are told apart by their neighbours only if the other is so many times likelier there.
+SURE = math.log(50)
 EDGE = 3
 
 WORD_ROW, PAIR_ROW, EDGE_ROW, INNER_ROW, INNER_HEAD_ROW = range(5)
@@ -172,6 +178,10 @@ class Language:
     words: dict[str, int] = field(default_factory=dict)
     pairs: dict[tuple[str, str], int] = field(default_factory=dict)
     total: int = 1
+    #: log share of each misreading (seen, meant)
+    channel: dict[tuple[str, str], float] = field(default_factory=dict)
+    #: known words that may be misreadings of others
+    doubtful: frozenset[str] = frozenset()
 
 
 def mined_rows(pages: DataFrame) -> DataFrame:
@@ -236,18 +246,78 @@ def mined_rows(pages: DataFrame) -> DataFrame:
 
 
 def language(rows: DataFrame) -> Language:
-    """The language model of mined rows."""
-    words = rows.where(F.col("kind") == WORD_ROW).groupBy("a").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_WORD)
-    pairs = rows.where(F.col("kind") == PAIR_ROW).groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_WORD)
+    """The language model of mined rows. Words that are misreadings of far more frequent ones are
+    no words. The channel is estimated in two rounds from all words that are not known: each
+    counts for the ways in which its likeliest known word would have been misread. Both are
+    worked out where the words are; the driver gets the model."""
+    tokens = rows.where(F.col("kind") == WORD_ROW).agg(F.coalesce(F.sum("n"), F.lit(0))).collect()[0][0]
+    counted = cut(rows.where(F.col("kind") == WORD_ROW).groupBy("a").agg(F.sum("n").alias("n")))
+    pairs = rows.where(F.col("kind") == PAIR_ROW).groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= max(LEAST_WORD, PAIR_SHARE * tokens))
     out = Language()
-    out.words = {r["a"]: r["n"] for r in words.orderBy(F.desc("n"), "a").limit(MAX_WORDS).collect()}
-    out.pairs = {(r["a"], r["b"]): r["n"] for r in pairs.orderBy(F.desc("n"), "a", "b").limit(MAX_PAIRS).collect()}
+    # each word that a far more frequent one may have been misread as is none
+    known = counted.where(F.col("n") >= max(LEAST_WORD, WORD_SHARE * tokens))
+    out.words = {r["a"]: r["n"] for r in known.collect()}
     out.total = sum(out.words.values()) or 1
-    # words that are misreadings of far more frequent ones are no words
-    speller = Speller(out)
-    odd = {w for w, n in out.words.items() if speller.stronger(w, n)}
+    odd = {r["word"] for r in judged_words(known, out, "odd").collect()}
     out.words = {w: n for w, n in out.words.items() if w not in odd}
-    out.pairs = {k: n for k, n in out.pairs.items() if k[0] in out.words and k[1] in out.words}
+    for _ in range(2):
+        out.channel = channel(counted, out)
+    out.doubtful = frozenset(r["word"] for r in judged_words(known, out, "doubtful").collect())
+    out.pairs = {(r["a"], r["b"]): r["n"] for r in pairs.collect() if r["a"] in out.words and r["b"] in out.words}
+    return out
+
+
+def judged_words(words: DataFrame, model: Language, what: str) -> DataFrame:
+    """(word): those of ``words`` (a, n) that are ``odd`` (RARER times rarer than a word they may be a
+    misreading of), or known and ``doubtful`` (some other known word, more frequent, may be meant)."""
+    sent = words.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        speller = Speller(sent.value)
+        for batch in batches:
+            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            if what == "odd":
+                # a word with characters that words have not needs no far more frequent one
+                found = [w for w, n in rows if speller.stronger(w, n) or (not STRANGE.isdisjoint(w) and any(speller.words[c] >= n for c, _ in speller.candidates(w)))]
+            else:
+                found = [w for w, n in rows if w in speller.words and len(w) > 2 and any(speller.words[c] >= n and cost > 1.5 * MISREAD_LOG for c, cost in speller.candidates(w))]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["word"])
+
+    return words.select("a", "n").mapInArrow(run, "word string")
+
+
+def channel(words: DataFrame, model: Language) -> dict[tuple[str, str], float]:
+    """The log share of each misreading (seen, meant): how often it explains a word that is not
+    known, over how often its meant characters occur in known words."""
+    sent = words.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        speller = Speller(sent.value)
+        counts: Counter[tuple[str, str]] = Counter()
+        meant: Counter[str] = Counter()
+        of = {m for ms in CONFUSIONS.values() for m in ms if m}
+        for batch in batches:
+            for w, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if w in speller.words:
+                    for m in of:
+                        if k := w.count(m):
+                            meant[m] += k * n
+                elif (best := speller.meant(w)) and (ways := speller.ways(w, best)):
+                    for way in ways:
+                        counts[way] += n
+        rows = [(s, m, n) for (s, m), n in counts.items()] + [(None, m, n) for m, n in meant.items()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * 3, (pa.string(), pa.string(), pa.int64()))], names=["seen", "meant", "n"])
+
+    # at most one row for each way of CONFUSIONS
+    got = words.select("a", "n").mapInArrow(run, "seen string, meant string, n long").groupBy("seen", "meant").agg(F.sum("n").alias("n")).collect()
+    occurs = {r["meant"]: r["n"] for r in got if r["seen"] is None}
+    total = sum(model.words.values())
+    out = {}
+    for seen, ms in CONFUSIONS.items():
+        for m in ms:
+            k = next((r["n"] for r in got if r["seen"] == seen and r["meant"] == m), 0)
+            share = (k + PRIOR * math.exp(MISREAD_LOG)) / ((occurs.get(m, 0) if m else total) + PRIOR)
+            out[seen, m] = math.log(min(0.1, share))
     return out
 
 
@@ -265,12 +335,13 @@ def source_furniture(rows: DataFrame) -> tuple[DataFrame, frozenset[str]]:
     often = share.where((F.col("on") >= 0.2 * F.col("of")) | (F.col("on") >= 8))
     running = cut(often.join(labels, "key", "left_anti"))
     common = running.where(F.col("of") >= 4).groupBy("key").agg(F.count("*").alias("sources")).where(F.col("sources") >= 3)
-    keys = {r["key"] for r in common.orderBy(F.desc("sources"), "key").limit(MAX_WORDS).select("key").collect()}
+    least = max(3, SOURCE_SHARE * running.select("source").distinct().count())
+    keys = {r["key"] for r in common.where(F.col("sources") >= least).select("key").collect()}
     # how furniture begins, where running text never begins so: for sources of a page or two
     begins = running.groupBy(F.substring("key", 1, HEAD).alias("head")).agg(F.sum("on").alias("outside"), F.countDistinct("source").alias("sources"))
     inner = rows.where(F.col("kind") == INNER_HEAD_ROW).groupBy(F.col("a").alias("head")).agg(F.sum("n").alias("inside"))
     sure = begins.join(inner, "head", "left").where((F.length("head") == HEAD) & (F.col("sources") >= 3) & (F.col("outside") >= 10) & (F.coalesce("inside", F.lit(0)) <= 0.02 * F.col("outside")))
-    keys |= {r["head"] for r in sure.orderBy(F.desc("outside"), "head").limit(MAX_WORDS).select("head").collect()}
+    keys |= {r["head"] for r in sure.where(F.col("sources") >= least).select("head").collect()}
     return running.groupBy("source").agg(F.sort_array(F.collect_set("key")).alias("known")), frozenset(keys)
 
 
@@ -280,57 +351,87 @@ class Speller:
     KEPT = 500_000
 
     def __init__(self, model: Language) -> None:
-        self.words, self.pairs, self.total = model.words, model.pairs, model.total
+        import ahocorasick
+
+        self.words, self.pairs, self.total, self.doubtful = model.words, model.pairs, model.total, model.doubtful
+        self.ways_of = {seen: [(m, model.channel.get((seen, m), MISREAD_LOG)) for m in ms] for seen, ms in CONFUSIONS.items()}
         self.memo: dict[str, list[tuple[str, float]]] = {}
+        # tells whether a known word begins so
+        self.begins = ahocorasick.Automaton()
+        for w in self.words:
+            self.begins.add_word(w, True)
+        self.own = math.log(0.01 / self.total)
 
     def candidates(self, word: str) -> list[tuple[str, float]]:
-        """Known words that ``word`` may be a misreading of, with the log of the channel."""
+        """All known words that ``word`` may be a misreading of by MOST_EDITS or less, with the log of
+        the channel. The word is read from left to right along the beginnings of known words, so
+        every way is followed and none that leads nowhere."""
         if word in self.memo:
             return self.memo[word]
         if len(self.memo) > self.KEPT:
             self.memo.clear()
         best: dict[str, float] = {}
-        layer = {word: 0.0}
-        seen = {word}
+        starts = [(word, 0.0)]
         try:
             fixed = word.encode("cp1252").decode("utf-8")
             if fixed != word:
-                layer[fixed.lower()] = MISREAD_LOG
+                starts.append((fixed.lower(), MISREAD_LOG))
         except (UnicodeEncodeError, UnicodeDecodeError):
             pass
         if "ã" in word:  # UTF-8 read as Latin-1, in lower case
             for bad, good in (("ã§", "ç"), ("ã£", "ã"), ("ã©", "é"), ("ãª", "ê"), ("ã¡", "á"), ("ã³", "ó"), ("ã´", "ô"), ("ãµ", "õ"), ("ãº", "ú"), ("ã­", "í"), ("ã¢", "â")):
                 if bad in word:
-                    layer[word.replace(bad, good)] = MISREAD_LOG
-        strange = sum(c in STRANGE for c in word)
-        depth = MOST_EDITS if strange > 1 else 2 if strange or len(word) >= 8 else 1
-        for _ in range(depth):
-            after: dict[str, float] = {}
-            for w, cost in layer.items():
-                if w != word and w in self.words and cost > best.get(w, -1e9):
-                    best[w] = cost
-                odd = [i for i, c in enumerate(w) if c in STRANGE]
-                for i in range(len(w)):
-                    # strange characters are put right first
-                    if odd and not (odd[0] - 1 <= i <= odd[0]):
-                        continue
-                    for n in (1, 2):
-                        for meant in CONFUSIONS.get(w[i : i + n], ()) if i + n <= len(w) else ():
-                            new = w[:i] + meant + w[i + n :]
-                            if new not in seen:
-                                seen.add(new)
-                                after[new] = cost + MISREAD_LOG
-            layer = after
-            if len(seen) > 4000:
-                break
-        for w, cost in layer.items():
-            if w in self.words and w != word and cost > best.get(w, -1e9):
-                best[w] = cost
-        out = sorted(best.items(), key=lambda x: -(x[1] + math.log(self.words[x[0]])))[:6]
-        self.memo[word] = out
+                    starts.append((word.replace(bad, good), MISREAD_LOG))
+        for text, cost in starts:
+            self.follow(text, cost, best)
+        best.pop(word, None)
+        out = self.memo[word] = list(best.items())
         return out
 
+    def follow(self, text: str, cost: float, best: dict[str, float]) -> None:
+        match, ways_of, n = self.begins.match, self.ways_of, len(text)
+        stack = [(0, "", cost, MOST_EDITS)]
+        while stack:
+            at, done, cost, left = stack.pop()
+            if at == n:
+                if done in self.words and cost > best.get(done, -1e9):
+                    best[done] = cost
+                continue
+            new = done + text[at]
+            if match(new):
+                stack.append((at + 1, new, cost, left))
+            if left:
+                for size in (1, 2):
+                    for meant, log in ways_of.get(text[at : at + size], ()) if at + size <= n else ():
+                        new = done + meant
+                        if not meant or match(new):
+                            stack.append((at + size, new, cost + log, left - 1))
+
+    def meant(self, word: str) -> str | None:
+        """The known word that an unknown one most likely was, or None if itself is likelier."""
+        found = [(c + math.log(self.words[w] / self.total), w) for w, c in self.candidates(word)]
+        best = max(found, default=(-1e9, ""))
+        return best[1] if best[0] > self.own else None
+
+    def ways(self, seen: str, meant: str) -> list[tuple[str, str]]:
+        """The misreadings by which ``meant`` was read as ``seen``, the likeliest of all; none if there are none."""
+        layers: list[dict[int, tuple[float, list[tuple[str, str]]]]] = [{} for _ in range(len(seen) + 3)]
+        layers[0][0] = (0.0, [])
+        for i in range(len(seen)):
+            for j, (cost, path) in list(layers[i].items()):
+                steps = [(1, j + 1, 0.0, None)] if meant.startswith(seen[i], j) else []
+                if len(path) < MOST_EDITS:
+                    for size in (1, 2):
+                        s = seen[i : i + size]
+                        steps += [(size, j + len(m), log, (s, m)) for m, log in self.ways_of.get(s, ()) if len(s) == size and meant.startswith(m, j)]
+                for size, to, log, way in steps:
+                    if to not in layers[i + size] or cost + log > layers[i + size][to][0]:
+                        layers[i + size][to] = (cost + log, [*path, way] if way else path)
+        return layers[len(seen)].get(len(meant), (0.0, []))[1]
+
     def stronger(self, word: str, n: int) -> bool:
+        """Whether a word that ``word`` may be a misreading of is RARER times as frequent, and as many
+        times more for each further misreading as one is rare."""
         return any(self.words[c] * math.exp(cost - MISREAD_LOG) >= RARER * n for c, cost in self.candidates(word))
 
     def chance(self, before: str | None, word: str) -> float:
@@ -340,10 +441,18 @@ class Speller:
             return math.log(p)
         return math.log(0.6 * self.pairs.get((before, word), 0) / seen + 0.4 * p)
 
+    def options(self, word: str) -> list[tuple[str, float]]:
+        """What a word may have been, with the log of the channel. A known word that is doubtful
+        gives way only to what is far likelier (SURE)."""
+        if word not in self.words:
+            return [(word, 0.0), *self.candidates(word)]
+        if word in self.doubtful:
+            return [(word, 0.0), *((w, c - SURE) for w, c in self.candidates(word) if self.words[w] >= self.words[word])]
+        return [(word, 0.0)]
+
     def likeliest(self, words: list[str]) -> list[str]:
-        """The likeliest words that ``words`` were, by Viterbi over their candidates; a known
-        word stays as it is."""
-        columns = [[(w, 0.0)] if w in self.words else [(w, 0.0), *self.candidates(w)] for w in words]
+        """The likeliest words that ``words`` were, by Viterbi over their options."""
+        columns = list(map(self.options, words))
         best: list[tuple[float, list[int]]] = [(self.chance(None, w) + c, [k]) for k, (w, c) in enumerate(columns[0])]
         for at in range(1, len(columns)):
             row = []
@@ -371,19 +480,19 @@ class PageResult:
 
 
 class OddWords(dict):
-    """Tokens to their core if that is a word the corpus does not know, else to None."""
+    """Tokens to their core if that is a word the corpus does not know or doubts, else to None."""
 
     KEPT = 1_000_000
 
-    def __init__(self, words: dict[str, int]) -> None:
+    def __init__(self, model: Language) -> None:
         super().__init__()
-        self.words = words
+        self.words, self.doubtful = model.words, model.doubtful
 
     def __missing__(self, token: str) -> str | None:
         if len(self) >= self.KEPT:
             self.clear()
         c = core(token)
-        odd = len(c) > 1 and c not in self.words and not NOT_WORD.search(token.strip(AROUND))
+        odd = len(c) > 1 and (c not in self.words or c in self.doubtful) and not NOT_WORD.search(token.strip(AROUND))
         found = self[token] = c if odd else None
         return found
 
@@ -402,7 +511,7 @@ class PageReader:
     def __init__(self, model: Language, common: frozenset[str] = frozenset()) -> None:
         self.speller, self.common = Speller(model), common
         self.words = model.words
-        self.odd = OddWords(model.words).__getitem__
+        self.odd = OddWords(model).__getitem__
 
     def border(self, text: str, page_number: int | None, known: list[str]) -> tuple[str | None, bool]:
         """The first running token if a word may go on with it, and whether the last one is broken."""
@@ -477,7 +586,7 @@ class PageReader:
                 if k in places and w != cores[k]:
                     out[k] = w
         for k in places:
-            if k not in out and misformed(cores[k]):
+            if k not in out and cores[k] not in self.words and misformed(cores[k]):
                 out[k] = ""
         return out
 
@@ -494,12 +603,12 @@ def stretches(odd: list[int], n: int) -> list[tuple[int, int]]:
     return out
 
 
-LETTERS_AROUND = re.compile(r"[^\W\d_][0-9!|$@€£ſﬁﬂ�^]+(?=[^\W\d_])|^[!|$@€£ſﬁﬂ�5][^\W\d_]{2}|[^\W\d_]{2}[!|@€£�0]$|[^\W\d_]{2}[5@€|!]$")
+LETTERS_AROUND = re.compile(r"[^\W\d_][0-9!|$@€£ſﬁﬂ�^]+(?=[^\W\d_])|^[!|$@€£ſﬁﬂ�5][^\W\d_]{2}|[^\W\d_]{2}[!|@€£�0~]$|[^\W\d_]{2}[5@€|!]$")
 
 
 def misformed(word: str) -> bool:
     """Whether a word that fits no known one holds characters that no word has."""
-    return len(word) > 3 and bool(LETTERS_AROUND.search(word)) and "@" not in word[1:-1].replace("@", "", 1)
+    return len(word) > 2 and bool(LETTERS_AROUND.search(word)) and "@" not in word[1:-1].replace("@", "", 1)
 
 
 def paragraphs(lines: list[str], running: list[int], mended: dict[int, list[str]], furniture: set[int]) -> str:
@@ -566,7 +675,7 @@ def read_pages(pages: DataFrame, found: bool, key: str = "page_id", source: str
     known, common = source_furniture(rows)
     known = cut(known)
     rows.unpersist()
-    sent = pages.sparkSession.sparkContext.broadcast((model, common))  # bounded by MAX_WORDS and MAX_PAIRS
+    sent = pages.sparkSession.sparkContext.broadcast((model, common))  # bounded by WORD_SHARE, PAIR_SHARE and SOURCE_SHARE
     ready = lookup(named.where(F.col("text") != "") if found else named, known, "source")
     if not found:
         place = lambda n: F.when(F.col("source").isNotNull() & n.isNotNull(), F.to_json(F.array(F.col("source").cast("string"), "part", n.cast("string"))))

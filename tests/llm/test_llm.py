@@ -1,5 +1,6 @@
 """The text operators on fixtures, against brute force, round trips and held-out labels."""
 
+import math
 import random
 from collections import Counter
 from datetime import date
@@ -240,6 +241,43 @@ def test_misread_words(seen):
     assert got.found == [(2, "misread")] and got.paragraphs.endswith("do requerente.")
 
 
+def test_candidates_are_all_within_three_misreadings():
+    import itertools
+
+    words = {w: 10 for w in ("mel", "rnel", "se", "cl", "mim", "clima", "dia", "lim", "nun")}
+    speller = scans.Speller(scans.Language(words=words, total=100))
+
+    def brute(seen):
+        layer, found = {seen}, set()
+        for _ in range(3):
+            layer = {w[:i] + m + w[i + n :] for w in layer for i in range(len(w)) for n in (1, 2) for m in scans.CONFUSIONS.get(w[i : i + n], ()) if i + n <= len(w)}
+            found |= layer & words.keys()
+        return found - {seen}
+
+    for seen in ("".join(x) for n in (2, 3) for x in itertools.product("mcl1irne", repeat=n)):
+        got = {w for w, _ in speller.candidates(seen)}
+        # what several misreadings of one place after another give is no misreading of the text
+        assert got <= brute(seen)
+        for w in got:
+            ways = speller.ways(seen, w)
+            assert 0 < len(ways) <= 3
+    assert {w for w, _ in speller.candidates("rne1")} == {"mel", "rnel"} and speller.ways("c1irna", "clima") == [("1", "l"), ("rn", "m")]
+
+
+def test_channel_is_estimated(spark):
+    words = {"mel": 900, "sol": 900, "lua": 900}
+    counted = spark.createDataFrame([*words.items(), ("me1", 90), ("so1", 80), ("s0l", 10)], "a string, n long")
+    model = scans.Language(words=dict(words), total=2700)
+    found = scans.channel(counted, model)
+    assert found["1", "l"] > found["0", "o"] > found["|", "l"] and abs(math.exp(found["1", "l"]) - (170 + 4) / (2700 + 2000)) < 1e-9
+
+
+def test_doubtful_words_give_way_to_strong_evidence():
+    model = scans.Language(words={"da": 5000, "conta": 900, "couta": 40, "grande": 50}, pairs={("da", "conta"): 800, ("grande", "couta"): 40}, total=10_000, doubtful=frozenset({"couta"}))
+    speller = scans.Speller(model)
+    assert speller.likeliest(["da", "couta"]) == ["da", "conta"] and speller.likeliest(["grande", "couta"]) == ["grande", "couta"]
+
+
 def test_unknown_words_are_left():
     for line in ("patrimonial do Zebedeu", "ver AX677 e 12/03/2020 às 8h44", "clovis.quinteral@correio.example", "R$ 12,30"):
         assert read(f"o contratante declara\n{line}").found == []
