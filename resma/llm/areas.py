@@ -31,8 +31,8 @@ MIN_DOCUMENTS = 4
 MIN_LEAN = 0.4
 #: Standard errors by which a word's share of an area must stand out from chance.
 STANDS_OUT = 2.5
-#: Most words of a transaction, the most leaning first.
-MAX_ITEMS = 6
+#: Words of one transaction; a sentence with more gives several, the most leaning words together.
+PART = 6
 MIN_CONFIDENCE = 0.55
 #: Least part of the strongest area's weight in a sentence at which another area counts there.
 BESIDE = 0.4
@@ -155,80 +155,114 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED
     return cut(docs.select(key, "text").where(F.col("text").isNotNull()).join(F.broadcast(cut(chosen)), key))  # at most ``most`` rows
 
 
-def item_counts(sample: DataFrame, schema_key: str = "doc_id") -> DataFrame:
-    """(item, area, n): documents of the sample with the item, by area; area '' counts all."""
+def item_bags(sample: DataFrame, least: int = MIN_DOCUMENTS) -> tuple[DataFrame, list[str]]:
+    """(doc_id, text, areas, given, bags) of the sample and the items: each sentence once as the numbers of
+    its items, so that no later step reads the texts for words again. Items met in fewer than
+    ``least`` documents can make no rule and are left out."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[str] = Counter()
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                counts.update(set().union(*map(items_of, sentences(text))) if text else ())
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["item", "n"])
+
+    often = sample.select("text").mapInArrow(count, "item string, n long").groupBy("item").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    names = sorted(r["item"] for r in often.select("item").collect())  # words of a bounded sample
+    sent = sample.sparkSession.sparkContext.broadcast({x: i for i, x in enumerate(names)})
+    kind = sample.schema["doc_id"].dataType.simpleString()
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = sent.value.get
+        for batch in batches:
+            bags = [[[n for i in items_of(s) if (n := of(i)) is not None] for s in sentences(t)] for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, batch.column(2), pa.array(bags, pa.list_(pa.list_(pa.int32())))], names=["doc_id", "text", "areas", "given", "bags"])
+
+    return cut(sample.select("doc_id", "text", "areas").mapInArrow(number, f"doc_id {kind}, text string, areas array<string>, given array<string>, bags array<array<int>>")), names
+
+
+def item_counts(bags: DataFrame) -> DataFrame:
+    """(item, area, n): documents of the sample with the item (a number), by area; area '' counts all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[str, Counter[int]] = defaultdict(Counter)
         for batch in batches:
-            counts: Counter[tuple[str, str]] = Counter()
-            for text, areas in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for item in set().union(*map(items_of, sentences(text))) if text else ():
-                    counts[item, ""] += 1
-                    for a in areas:
-                        counts[item, a] += 1
-            keys = list(counts)
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([counts[k] for k in keys], pa.int64())], names=["item", "area", "n"])
+            for bag, areas in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                items = set().union(*bag)
+                for a in ("", *areas):
+                    counts[a].update(items)
+        rows = [(i, a, n) for a, c in counts.items() for i, n in c.items()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * 3, (pa.int32(), pa.string(), pa.int64()))], names=["item", "area", "n"])
 
-    return sample.select("text", "areas").mapInArrow(run, "item string, area string, n long").groupBy("item", "area").agg(F.sum("n").alias("n"))
+    return bags.select("bags", "areas").mapInArrow(run, "item int, area string, n long").groupBy("item", "area").agg(F.sum("n").alias("n"))
 
 
-def leaning_items(counts: DataFrame, least: int = MIN_DOCUMENTS, lean: float = MIN_LEAN) -> dict[str, tuple[str, float]]:
+def leaning_items(counts: DataFrame, names: list[str], least: int = MIN_DOCUMENTS, lean: float = MIN_LEAN) -> dict[int, tuple[str, float]]:
     """Items of the bounded sample that lean to an area: item to (area, smoothed share)."""
     all_docs = counts.where(F.col("area") == "").select("item", F.col("n").alias("docs")).where(F.col("docs") >= least)
     own = counts.where(~F.col("area").isin("", REST)).groupBy("item").agg(F.max(F.struct("n", "area")).alias("best"))
     share = (F.col("best.n") + 0.5) / (F.col("docs") + 1)
     rows = all_docs.join(own, "item").withColumn("share", share).where((F.col("share") >= lean) & (F.col("best.n") >= least)).select("item", "best.area", "share", "best.n", "docs").collect()
     found = {r["item"]: (r["area"], r["share"]) for r in rows if lower_bound(r["n"], r["docs"]) >= lean}
+    shares = {names[i]: v[1] for i, v in found.items()}
     # a pair that says no more than one of its words is redundant
-    return {i: v for i, v in found.items() if " " not in i or not any(w in found and found[w][1] >= v[1] - 0.02 for w in i.split(" "))}
+    return {i: v for i, v in found.items() if " " not in names[i] or not any(shares.get(w, 0.0) >= v[1] - 0.02 for w in names[i].split(" "))}
 
 
-def foreign_items(sample: DataFrame, leaning: dict[str, tuple[str, float]], strong: float = 0.75, least: int = MIN_DOCUMENTS) -> set[str]:
-    """Context items of sentences that name areas their document is not about, more than half of the time."""
+def foreign_items(bags: DataFrame, leaning: dict[int, tuple[str, float]], strong: float = 0.75, least: int = MIN_DOCUMENTS) -> dict[int, float]:
+    """Context items of sentences that name areas their document is not about, more than half of
+    the time, with that share. Not about: neither by the areas it has now nor by those it was given,
+    so that what the rules missed once is not taken for foreign ever after."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[bool, Counter[int]] = {True: Counter(), False: Counter()}
         for batch in batches:
-            counts: Counter[tuple[str, bool]] = Counter()
-            for text, areas in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                seen: set[tuple[str, bool]] = set()
-                for s in sentences(text):
-                    items = items_of(s)
+            for bag, areas, given in zip(*(c.to_pylist() for c in batch.columns)):
+                areas = {*areas, *given}
+                seen: dict[bool, set[int]] = {True: set(), False: set()}
+                for items in bag:
                     named = {leaning[i][0] for i in items if i in leaning and leaning[i][1] >= strong}
                     if named:
-                        foreign = not named & set(areas)
-                        seen.update((i, foreign) for i in items if i not in leaning)
-                counts.update(seen)
-            keys = list(counts)
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.bool_()), pa.array([counts[k] for k in keys], pa.int64())], names=["item", "is_foreign", "n"])
+                        seen[named.isdisjoint(areas)].update(i for i in items if i not in leaning)
+                for f, items in seen.items():
+                    counts[f].update(items)
+        rows = [(i, f, n) for f, c in counts.items() for i, n in c.items()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * 3, (pa.int32(), pa.bool_(), pa.int64()))], names=["item", "is_foreign", "n"])
 
-    n = sample.select("text", "areas").mapInArrow(run, "item string, is_foreign boolean, n long")
+    n = bags.select("bags", "areas", "given").mapInArrow(run, "item int, is_foreign boolean, n long")
     share = n.groupBy("item").agg(F.sum(F.when(F.col("is_foreign"), F.col("n")).otherwise(0)).alias("f"), F.sum("n").alias("n"))
-    return {r["item"] for r in share.where((F.col("f") >= least) & (F.col("f") > 0.6 * F.col("n"))).select("item").collect()}
+    return {r["item"]: r["f"] / r["n"] for r in share.where((F.col("f") >= least) & (F.col("f") > 0.6 * F.col("n"))).collect()}
+
+
+def parts(items: list[int], size: int = PART) -> list[list[int]]:
+    return [items[i : i + size] for i in range(0, len(items), size)]
 
 
-def transactions(sample: DataFrame, leaning: dict[str, tuple[str, float]], context: set[str], strong: float = 0.75, most: int = MAX_ITEMS) -> DataFrame:
-    """(items): words that lean, context items and the classes =area, =foreign or =own of each sentence."""
+def transactions(bags: DataFrame, leaning: dict[int, tuple[str, float]], context: dict[int, float], strong: float = 0.75) -> DataFrame:
+    """(items): words that lean or context items of each sentence, with the classes =area, =foreign
+    or =own. The growth of patterns doubles with every item of a transaction, so sentences with
+    many are parted into transactions of PART items, the strongest together; none is left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list[str]] = []
-            for text, areas in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for s in sentences(text):
-                    items = items_of(s)
-                    lean = sorted((i for i in items if i in leaning), key=lambda i: (-leaning[i][1], i))[:most]
+            for bag, areas, given in zip(*(c.to_pylist() for c in batch.columns)):
+                told = ["=" + a for a in areas if a != REST]
+                about = {*areas, *given}
+                for items in bag:
+                    lean = sorted((i for i in items if i in leaning), key=lambda i: (-leaning[i][1], i))
                     if not lean:
                         continue
-                    near = sorted(i for i in items if i in context)
-                    named = {leaning[i][0] for i in lean if leaning[i][1] >= strong}
-                    told = ["=" + a for a in areas if a != REST]
+                    near = sorted((i for i in items if i in context), key=lambda i: (-context[i], i))
                     if near:
                         # words in a foreign context say nothing of the area
-                        out.append([*near[:most], "=foreign" if named and not named & set(areas) else "=own"])
+                        named = {leaning[i][0] for i in lean if leaning[i][1] >= strong}
+                        out += [[*map(str, p), "=foreign" if named and named.isdisjoint(about) else "=own"] for p in parts(near)]
                     else:
-                        out.append([*lean, *told])
+                        out += [[*map(str, p), *told] for p in parts(lean)]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.string()))], names=["items"])
 
-    return sample.select("text", "areas").mapInArrow(run, "items array<string>")
+    return bags.select("bags", "areas", "given").mapInArrow(run, "items array<string>")
 
 
 def prune(rules: list[tuple[frozenset, str, float]], gain: float = 0.03) -> list[tuple[frozenset, str, float]]:
@@ -246,41 +280,65 @@ def weight(p: float) -> float:
     return math.log(p / (1 - p))
 
 
-def relabelled(sample: DataFrame, rules: Rules) -> DataFrame:
-    """``sample`` with the areas that ``rules`` give, wrong and missing labels mended."""
-    given = assign(sample, rules).groupBy("doc_id").agg(F.collect_set("area").alias("areas"))
-    return cut(sample.drop("areas").join(given, "doc_id"))
+def evidenced(bags: DataFrame, rules: Rules) -> DataFrame:
+    """(doc_id, given, evidence) of the sample under ``rules``, read once and kept."""
+    kind = bags.schema["doc_id"].dataType.simpleString()
+    sent = bags.sparkSession.sparkContext.broadcast(rules)  # bounded by the sample
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = Matcher(sent.value)
+        for batch in batches:
+            told = [list(matcher.evidence(t).items()) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(told, pa.map_(pa.string(), pa.float64()))], names=["doc_id", "given", "evidence"])
+
+    return cut(bags.select("doc_id", "text", "areas").mapInArrow(run, f"doc_id {kind}, given array<string>, evidence map<string,double>"))
+
+
+def relabelled(bags: DataFrame, seen: DataFrame, rules: Rules) -> DataFrame:
+    """``bags`` with the areas that ``rules`` give, wrong and missing labels mended."""
+    kind = bags.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            told = [[a for a, _ in areas_of(dict(e), rules)] for e in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(told, pa.list_(pa.string()))], names=["doc_id", "areas"])
+
+    given = seen.select("doc_id", "evidence").mapInArrow(run, f"doc_id {kind}, areas array<string>")
+    return cut(bags.drop("areas", "text").join(given, "doc_id"))
 
 
 def mine(sample: DataFrame, least: int = MIN_DOCUMENTS) -> Rules:
     """Rules of a labelled sample. As hand-made labels are partly wrong, the sample is first
-    relabelled by the words that lean to an area; the rules are then mined from these labels,
-    and calibrated on the labels as given."""
-    leaning = leaning_items(item_counts(sample), least)
-    first = Rules()
+    relabelled by the words that lean to an area; patterns are grown from these labels, the
+    sample is relabelled by the rules found, and patterns and foreign contexts are mined anew.
+    All calibration is on the labels as given."""
+    bags, names = item_bags(sample, least)
+    leaning = leaning_items(item_counts(bags), names, least)
+    rules = Rules()
     for item, (area, share) in leaning.items():
         if share >= MIN_SURE:
-            first.areas[frozenset([item])] = [(area, weight(min(share, 0.98)))]
-    context = foreign_items(sample, leaning, least=least)
-    first.foreign = [frozenset([i]) for i in context]
-    first.steps, first.probabilities = calibrate(sample, first)
-    rules = mined_once(relabelled(sample, first), context, least)
-    rules.steps, rules.probabilities = calibrate(sample, rules)
+            rules.areas[frozenset([names[item]])] = [(area, weight(min(share, 0.98)))]
+    rules.foreign = [frozenset([names[i]]) for i in foreign_items(bags, leaning, least=least)]
+    for _ in range(2):
+        seen = evidenced(bags, rules)
+        rules.steps, rules.probabilities = calibrate(seen)
+        rules = mined_once(relabelled(bags, seen, rules), names, least)
+    rules.steps, rules.probabilities = calibrate(evidenced(bags, rules))
     return rules
 
 
-def mined_once(sample: DataFrame, context: set[str], least: int = MIN_DOCUMENTS, confidence: float = MIN_CONFIDENCE) -> Rules:
-    """Area and foreign rules of a sample; ``context``: words of foreign contexts."""
-    leaning = leaning_items(item_counts(sample), least)
-    context = context - leaning.keys()
-    bags = cut(transactions(sample, leaning, context))
-    n = bags.count()
+def mined_once(bags: DataFrame, names: list[str], least: int = MIN_DOCUMENTS, confidence: float = MIN_CONFIDENCE) -> Rules:
+    """Area and foreign rules of a sample with the areas it has now."""
+    leaning = leaning_items(item_counts(bags), names, least)
+    context = foreign_items(bags, leaning, least=least)
+    held = cut(transactions(bags, leaning, context))
+    n = held.count()
     rules = Rules()
     if n:
-        model = FPGrowth(itemsCol="items", minSupport=min(1.0, least / n), minConfidence=confidence).fit(bags)
+        model = FPGrowth(itemsCol="items", minSupport=min(1.0, least / n), minConfidence=confidence).fit(held)
         told = F.element_at("consequent", 1)
         rows = model.associationRules.where(told.startswith("=") & ~F.exists("antecedent", lambda x: x.startswith("="))).select("antecedent", told.alias("told"), "confidence", (F.col("support") * n).alias("k")).collect()
-        found = [(frozenset(r["antecedent"]), r["told"][1:], (r["k"] + 0.5) / (r["k"] / r["confidence"] + 1)) for r in rows if r["told"] != "=own"]
+        found = [(frozenset(names[int(i)] for i in r["antecedent"]), r["told"][1:], (r["k"] + 0.5) / (r["k"] / r["confidence"] + 1)) for r in rows if r["told"] != "=own"]
         for k, c, p in prune(found):
             if c == "foreign":
                 if p >= 0.7:
@@ -290,24 +348,13 @@ def mined_once(sample: DataFrame, context: set[str], least: int = MIN_DOCUMENTS,
     return rules
 
 
-def calibrate(sample: DataFrame, rules: Rules) -> tuple[list[float], list[float]]:
+def calibrate(seen: DataFrame) -> tuple[list[float], list[float]]:
     """A rising step function from evidence to the share of labels that agree (pool adjacent
     violators over the bounded sample)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(rules)
-        for batch in batches:
-            counts: Counter[tuple[float, bool]] = Counter()
-            for text, areas in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for a, e in matcher.evidence(text).items():
-                    counts[round(e, 1), a in areas] += 1
-            keys = list(counts)
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.float64()), pa.array([k[1] for k in keys], pa.bool_()), pa.array([counts[k] for k in keys], pa.int64())], names=["e", "ok", "n"])
-
-    seen = sample.select("text", "areas").mapInArrow(run, "e double, ok boolean, n long")
-    rows = seen.groupBy("e").agg(F.sum(F.when(F.col("ok"), F.col("n")).otherwise(0)).alias("k"), F.sum("n").alias("n")).orderBy("e").collect()
+    each = seen.select("given", F.explode("evidence").alias("area", "e"))
+    counted = each.groupBy(F.round("e", 1).alias("e")).agg(F.count_if(F.array_contains("given", F.col("area"))).alias("k"), F.count("*").alias("n"))
     blocks: list[list[float]] = []
-    for r in rows:
+    for r in counted.orderBy("e").collect():
         blocks.append([r["e"], r["k"], r["n"]])
         while len(blocks) > 1 and blocks[-2][1] / blocks[-2][2] >= blocks[-1][1] / blocks[-1][2]:
             e, k, n = blocks.pop()

@@ -273,7 +273,7 @@ def test_channel_is_estimated(spark):
 
 
 def test_doubtful_words_give_way_to_strong_evidence():
-    model = scans.Language(words={"da": 5000, "conta": 900, "couta": 40, "grande": 50}, pairs={("da", "conta"): 800, ("grande", "couta"): 40}, total=10_000, doubtful=frozenset({"couta"}))
+    model = scans.Language(words={"da": 5000, "conta": 900, "couta": 3, "grande": 50}, pairs={("da", "conta"): 800, ("grande", "couta"): 3}, total=1_000_000, doubtful=frozenset({"couta"}))
     speller = scans.Speller(model)
     assert speller.likeliest(["da", "couta"]) == ["da", "conta"] and speller.likeliest(["grande", "couta"]) == ["grande", "couta"]
 
