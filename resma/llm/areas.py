@@ -175,7 +175,7 @@ def item_bags(sample: DataFrame, least: int = MIN_DOCUMENTS) -> tuple[DataFrame,
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = sent.value.get
         for batch in batches:
-            bags = [[[n for i in items_of(s) if (n := of(i)) is not None] for s in sentences(t)] for t in batch.column(1).to_pylist()]
+            bags = [[sorted(n for i in items_of(s) if (n := of(i)) is not None) for s in sentences(t)] for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, batch.column(2), pa.array(bags, pa.list_(pa.list_(pa.int32())))], names=["doc_id", "text", "areas", "given", "bags"])
 
     return cut(sample.select("doc_id", "text", "areas").mapInArrow(number, f"doc_id {kind}, text string, areas array<string>, given array<string>, bags array<array<int>>")), names
@@ -249,7 +249,7 @@ def transactions(bags: DataFrame, leaning: dict[int, tuple[str, float]], context
             for bag, areas, given in zip(*(c.to_pylist() for c in batch.columns)):
                 told = ["=" + a for a in areas if a != REST]
                 about = {*areas, *given}
-                for items in bag:
+                for items in map(list, {tuple(x) for x in bag}):  # a sentence that a document repeats counts once
                     lean = sorted((i for i in items if i in leaning), key=lambda i: (-leaning[i][1], i))
                     if not lean:
                         continue
@@ -335,10 +335,14 @@ def mined_once(bags: DataFrame, names: list[str], least: int = MIN_DOCUMENTS, co
     n = held.count()
     rules = Rules()
     if n:
-        model = FPGrowth(itemsCol="items", minSupport=min(1.0, least / n), minConfidence=confidence).fit(held)
-        told = F.element_at("consequent", 1)
-        rows = model.associationRules.where(told.startswith("=") & ~F.exists("antecedent", lambda x: x.startswith("="))).select("antecedent", told.alias("told"), "confidence", (F.col("support") * n).alias("k")).collect()
-        found = [(frozenset(names[int(i)] for i in r["antecedent"]), r["told"][1:], (r["k"] + 0.5) / (r["k"] / r["confidence"] + 1)) for r in rows if r["told"] != "=own"]
+        patterns = FPGrowth(itemsCol="items", minSupport=min(1.0, least / n)).fit(held).freqItemsets
+        # a rule is a pattern with one class over the pattern without it: both meet under their words
+        is_class = lambda x: x.startswith("=")
+        classes, words = F.filter("items", is_class), F.array_sort(F.filter("items", lambda x: ~is_class(x)))
+        met = patterns.where((F.size(classes) <= 1) & (F.size(words) > 0)).select(words.alias("words"), F.coalesce(F.get(classes, F.lit(0)), F.lit("")).alias("told"), "freq")
+        per = met.groupBy("words").agg(F.max(F.when(F.col("told") == "", F.col("freq"))).alias("n"), F.collect_list(F.when(~F.col("told").isin("", "=own"), F.struct("told", "freq"))).alias("told"))
+        rows = per.select("words", "n", F.explode("told").alias("t")).where(F.col("t.freq") >= confidence * F.col("n")).select("words", "n", "t.told", "t.freq").collect()
+        found = [(frozenset(names[int(i)] for i in r["words"]), r["told"][1:], (r["freq"] + 0.5) / (r["n"] + 1)) for r in rows]
         for k, c, p in prune(found):
             if c == "foreign":
                 if p >= 0.7:
