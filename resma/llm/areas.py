@@ -100,9 +100,11 @@ class Matcher:
         for k, v in rules.areas.items():
             if len(k) > 1:
                 self.several[min(k)].append((k, v))
+        self.foreign_words = {next(iter(k)) for k in rules.foreign if len(k) == 1}
         self.foreign: dict[str, list[frozenset]] = defaultdict(list)
         for k in rules.foreign:
-            self.foreign[min(k)].append(k)
+            if len(k) > 1:
+                self.foreign[min(k)].append(k)
         words = {w for k in [*rules.areas, *rules.foreign] for w in k}
         # ends of sentences are found in the same pass as the words
         self.automaton = ahocorasick.Automaton()
@@ -129,17 +131,24 @@ class Matcher:
 
     def evidence(self, text: str) -> dict[str, float]:
         total: dict[str, float] = defaultdict(float)
+        single, several, foreign, foreign_words = self.single, self.several, self.foreign, self.foreign_words
         for words in self.found(text):
-            if any(k <= words for w in words if w in self.foreign for k in self.foreign[w]):
+            if not words.isdisjoint(foreign_words) or (foreign and any(k <= words for w in words if w in foreign for k in foreign[w])):
                 continue
             told: dict[str, list[float]] = defaultdict(list)
             for w in words:
-                for area, weight in self.single.get(w, ()):
-                    told[area].append(weight)
-                for k, rules in self.several.get(w, ()):
-                    if k <= words:
-                        for area, weight in rules:
-                            told[area].append(weight)
+                if w in single:
+                    for area, weight in single[w]:
+                        told[area].append(weight)
+                if w in several:
+                    for k, rules in several[w]:
+                        if k <= words:
+                            for area, weight in rules:
+                                told[area].append(weight)
+            if len(told) == 1:
+                for area, v in told.items():
+                    total[area] += max(v)
+                continue
             most = max((sum(v) for v in told.values()), default=0.0)
             for area, v in told.items():
                 # a word or two beside the many of another area are ambiguous words
@@ -164,7 +173,8 @@ def item_bags(sample: DataFrame, least: int = MIN_DOCUMENTS) -> tuple[DataFrame,
         counts: Counter[str] = Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                counts.update(set().union(*map(items_of, sentences(text))) if text else ())
+                # sentence ends part words anyway, so the items of a text are those of its sentences
+                counts.update(items_of(text) if text else ())
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["item", "n"])
 
     often = sample.select("text").mapInArrow(count, "item string, n long").groupBy("item").agg(F.sum("n").alias("n")).where(F.col("n") >= least)

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from resma.plans.cut import cut
+
 UP, LOW = "A-ZÀ-ÖØ-Þ", "a-zß-öø-ÿ"
 GAP = r"(?: {1,3}|\s?\n)"  # within a value: spaces or one line end
 WORD = rf"(?:[{UP}][{LOW}]+(?:['’-][{UP}{LOW}]+)*|[{UP}]{{2,}}(?:['’-][{UP}]+)*)"
@@ -50,6 +52,8 @@ _at = r"(?:{s}?@{s}?|{s}?[(\[{{<](?:arroba|at|a)[)\]}}>]{s}?|{s}arroba{s})".form
 _dot = r"(?:\.|[ \n]?[(\[](?:ponto|dot)[)\]][ \n]?|[ \n]ponto[ \n]|[ \n]\.[ \n]?)"
 EMAIL = re.compile(rf"(?<![\w.+-])[A-Za-z0-9][\w+-]*(?:(?:\.|[ ](?:ponto|sublinhado|underline)[ ])[\w+-]+)*{_at}[A-Za-z0-9]+(?:-\n?[A-Za-z0-9]+)*(?:{_dot}[A-Za-z0-9]+(?:-[A-Za-z0-9]+)*)+", re.I)
 SPELT_SIGN = re.compile(r"[(\[{<](?:arroba|at|a)[)\]}>]|[ \n]arroba[ \n]", re.I)
+# The longest name and domain that mail allows (64 and 255 characters), and half as much again for spelt dots.
+LOCAL, DOMAIN = 96, 384
 # Mail boxes of offices, not of persons.
 OFFICE_BOX = re.compile(r"(?:ouvidoria|sac|contato|atendimento|faleconosco|fale\.conosco|vendas|juridico|comercial|financeiro|suporte|secretaria|cartorio|vara|rh|info|cobranca|central)\b", re.I)
 
@@ -112,8 +116,8 @@ NEVER = frozenset(
 #: Fewest places at which a word must stand as a name, and least share of all its places.
 LEAST_PLACES = 3
 LEAST_SHARE = 0.08
-#: Most words of the lexicon (the most frequent); the lexicon is a model, bounded by this.
-MAX_LEXICON = 200_000
+#: Least share of all places of names (of towns) that a word of the lexicon has: there are at most 1 / share of either, whatever the corpus.
+PLACE_SHARE = 1e-6
 
 KINDS = ("email", "phone", "id_number", "address", "name")
 
@@ -177,10 +181,11 @@ def lexicon_counts(pages: DataFrame, text: str = "text") -> DataFrame:
 
 def mine_lexicon(pages: DataFrame, text: str = "text") -> Lexicon:
     """The lexicon of a corpus, counted over all its pages."""
-    wide = lexicon_counts(pages, text).groupBy("word").agg(*[F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(k) for k in ("name", "all", "town")])
-    is_name = (F.col("name") >= LEAST_PLACES) & (F.col("name") >= LEAST_SHARE * F.col("all"))
-    names = wide.where(is_name).orderBy(F.desc("name"), "word").limit(MAX_LEXICON).select("word").collect()
-    towns = wide.where(F.col("town") >= LEAST_PLACES).orderBy(F.desc("town"), "word").limit(MAX_LEXICON).select("word", F.col("town").alias("n")).collect()
+    wide = cut(lexicon_counts(pages, text).groupBy("word").agg(*[F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(k) for k in ("name", "all", "town")]))
+    places = wide.agg(*[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in ("name", "town")]).collect()[0]  # one row
+    least = {k: max(LEAST_PLACES, PLACE_SHARE * places[k]) for k in ("name", "town")}
+    names = wide.where((F.col("name") >= least["name"]) & (F.col("name") >= LEAST_SHARE * F.col("all"))).select("word").collect()
+    towns = wide.where(F.col("town") >= least["town"]).select("word", F.col("town").alias("n")).collect()
     out = Lexicon(names={r["word"] for r in names} - NEVER)
     often = {tuple(r["word"].split()): r["n"] for r in towns}
     for parts, n in often.items():
@@ -199,6 +204,8 @@ class Finder:
 
     def __init__(self, lexicon: Lexicon) -> None:
         self.names, self.towns = lexicon.names, lexicon.towns
+        # a town may be parted by a few spaces and line ends
+        self.longest = 8 + max((2 * len(t) + sum(map(len, t)) for ts in lexicon.towns.values() for t in ts), default=0)
         self.keys = automaton(NAME_KEYS)
 
     def find(self, text: str) -> list[tuple[str, int, int]]:
@@ -216,10 +223,10 @@ class Finder:
 
         at = -1
         while (at := text.find("@", at + 1)) >= 0:
-            if (m := next((m for m in EMAIL.finditer(text, max(0, at - 66), at + 120) if m.start() < at < m.end()), None)) and free(*m.span()):
+            if (m := next((m for m in EMAIL.finditer(text, max(0, at - LOCAL), at + DOMAIN) if m.start() < at < m.end()), None)) and free(*m.span()):
                 take(None if OFFICE_BOX.match(m.group()) else "email", m.start(), m.end())
         for s in SPELT_SIGN.finditer(text):
-            if (m := next((m for m in EMAIL.finditer(text, max(0, s.start() - 66), s.end() + 120) if m.start() < s.start() < m.end()), None)) and free(*m.span()):
+            if (m := next((m for m in EMAIL.finditer(text, max(0, s.start() - LOCAL), s.end() + DOMAIN) if m.start() < s.start() < m.end()), None)) and free(*m.span()):
                 take(None if OFFICE_BOX.match(m.group()) else "email", m.start(), m.end())
         for m in ADDRESS.finditer(text):
             start, end = m.span()
@@ -293,7 +300,7 @@ class Finder:
             if start < done:
                 continue
             word = text[start:end].lower()
-            if word in towns and (stop := self.town_end(text, start, start + 60)) > end:
+            if word in towns and (stop := self.town_end(text, start, start + self.longest)) > end:
                 done = stop
                 continue
             anchored = start == end
@@ -370,17 +377,54 @@ def cpf_check(base: str) -> str:
     return base[-2:]
 
 
+def pis_check(base: str) -> str:
+    """The check digit of the first ten digits of a social-security number."""
+    rest = 11 - sum(int(c) * w for c, w in zip(base, (3, 2, 9, 8, 7, 6, 5, 4, 3, 2))) % 11
+    return str(rest) if rest < 10 else "0"
+
+
+def phone_prefix(digits: str) -> int:
+    """How many leading digits of a valid number of this length are area and kind of line: they
+    are kept, so that the pseudonym is a number of the same kind; 0 if the number has no valid form."""
+    area = digits[0] != "0" and digits[1] != "0" if len(digits) > 1 else False
+    if len(digits) == 11 and area and digits[2] == "9":
+        return 3
+    return 2 if len(digits) == 10 and area and digits[2] in "2345" else 0
+
+
+def number_form(digits: str, kind: str) -> str:
+    """The valid form of a number: ``cpf`` and ``pis`` with right check digits, ``mobile`` and ``fixed`` lines with their area, else ''."""
+    if kind == "id_number" and len(digits) == 11:
+        return "cpf" if cpf_check(digits[:9]) == digits[9:] else "pis" if pis_check(digits[:10]) == digits[10] else ""
+    if kind == "phone":
+        return {3: "mobile", 2: "fixed", 0: ""}[phone_prefix(digits)]
+    return ""
+
+
+def permute_digits(digits: str, key: bytes, kind: str, form: str) -> str:
+    """One step of the permutation of numbers of ``form``."""
+    if form == "cpf":
+        base = feistel(digits[:9], key, b"id_number")
+        return base + cpf_check(base)
+    if form == "pis":
+        base = feistel(digits[:10], key, b"pis")
+        return base + pis_check(base)
+    kept = {"mobile": 3, "fixed": 2}.get(form, 0)
+    return digits[:kept] + feistel(digits[kept:], key, kind.encode() + digits[:kept].encode())
+
+
 def permute_number(value: str, key: bytes, kind: str) -> str:
-    """``value`` with its digits permuted and all else kept. A number with right CPF check
-    digits becomes another with right ones."""
+    """``value`` with its digits permuted and all else kept, after its form has been validated: a
+    tax or social-security number with right check digits becomes another with right ones, a
+    mobile or fixed line another of its area, a number of no valid form another of none. Steps
+    are repeated until the form is that of the value, so different numbers never meet."""
     if kind == "phone" and value.startswith("+55"):
         return "+55" + permute_number(value[3:], key, kind)  # the country is no secret
     digits = "".join(c for c in value if c.isascii() and c.isdigit())
-    if len(digits) == 11 and kind == "id_number" and cpf_check(digits[:9]) == digits[9:]:
-        base = feistel(digits[:9], key, kind.encode())
-        new = base + cpf_check(base)
-    else:
-        new = feistel(digits, key, kind.encode())
+    form = number_form(digits, kind)
+    new = permute_digits(digits, key, kind, form)
+    while number_form(new, kind) != form:
+        new = permute_digits(new, key, kind, form)
     it = iter(new)
     return "".join(next(it) if c.isascii() and c.isdigit() else c for c in value)
 
@@ -404,7 +448,7 @@ BIRTH = re.compile(r"(?:nascid[oa](?:\s+na\s+cidade\s+de\s+[^,\d]{2,40})?,?\s+(?
 
 def redacted(text: str, spans: list[tuple[str, int, int]], key: bytes) -> str:
     """``text`` with each value as a typed placeholder, such as [phone (71) 98888-0000] with
-    permuted digits or [name 3f9a2c51b07de846]; birth dates are permuted in place."""
+    permuted digits or [name 3f9a2c51b07de8463f9a2c51b07de846]; birth dates are permuted in place."""
     out, at = [], 0
     for kind, start, end in spans:
         out.append(text[at:start])
@@ -413,7 +457,7 @@ def redacted(text: str, spans: list[tuple[str, int, int]], key: bytes) -> str:
         if kind in ("phone", "id_number"):
             out.append(f"[{kind} {permute_number(flat, key, kind)}]")
         else:
-            out.append(f"[{kind} {hashlib.blake2b(fold(flat).encode(), key=key, digest_size=8).hexdigest()}]")
+            out.append(f"[{kind} {hashlib.blake2b(fold(flat).encode(), key=key, digest_size=16).hexdigest()}]")
         at = end
     out.append(text[at:])
 
@@ -430,7 +474,7 @@ def redacted(text: str, spans: list[tuple[str, int, int]], key: bytes) -> str:
 def found_values(pages: DataFrame, lexicon: Lexicon, key: str = "page_id", text: str = "text") -> DataFrame:
     """(key, kind, start_pos, end_pos): one row per value, positions in characters from 1, the
     end inclusive. Null and empty texts have none; repeated pages are told alike."""
-    sent = pages.sparkSession.sparkContext.broadcast(lexicon)  # at most MAX_LEXICON words of either kind
+    sent = pages.sparkSession.sparkContext.broadcast(lexicon)  # at most 1 / PLACE_SHARE words of either kind
     kind = pages.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

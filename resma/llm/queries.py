@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import secrets
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,8 +28,16 @@ def p1_repaired(spark: SparkSession, folder: str) -> DataFrame:
     return scans.read_pages(_scans(spark, folder, "configuration_sha256"), found=False)
 
 
-#: Key of the pseudonyms; a deployment sets its own and keeps it.
-PSEUDONYM_KEY = "resma"
+#: Where a deployment states the key of its pseudonyms; values stay linked as long as it is kept.
+KEY_SETTING = "spark.resma.pseudonymKey"
+_drawn: dict[str, str] = {}
+
+
+def pseudonym_key(spark: SparkSession) -> str:
+    """The configured key, or, where none is, one drawn for this application: nobody can undo its
+    pseudonyms, and they link values within its results only."""
+    named = spark.conf.get(KEY_SETTING, None) or os.environ.get("RESMA_PSEUDONYM_KEY")
+    return named or _drawn.setdefault(spark.sparkContext.applicationId, secrets.token_hex(32))
 
 
 def _page_texts(spark: SparkSession, folder: str) -> DataFrame:
@@ -43,7 +53,7 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
 def p5_redacted(spark: SparkSession, folder: str) -> DataFrame:
     """The page texts with placeholders for personal values."""
     pages = _page_texts(spark, folder)
-    return pii.redact_pages(pages, pii.mine_lexicon(pages), PSEUDONYM_KEY)
+    return pii.redact_pages(pages, pii.mine_lexicon(pages), pseudonym_key(spark))
 
 
 def p7_packed(spark: SparkSession, folder: str) -> DataFrame:

@@ -220,6 +220,25 @@ def test_lexicon_is_mined_and_nulls_pass(spark):
     assert pii.found_values(pages.limit(0), pii.mine_lexicon(pages.limit(0))).count() == 0
 
 
+def test_numbers_keep_their_form_and_never_meet():
+    rnd = random.Random(2)
+    for kind, size in (("id_number", 11), ("phone", 10), ("phone", 11), ("id_number", 8)):
+        values = {"".join(rnd.choice("0123456789") for _ in range(size)) for _ in range(3000)}
+        if size == 11 and kind == "id_number":
+            values |= {v[:9] + pii.cpf_check(v[:9]) for v in list(values)[:500]} | {v[:10] + pii.pis_check(v[:10]) for v in list(values)[:500]}
+        new = {v: pii.permute_number(v, KEY, kind) for v in values}
+        assert len(set(new.values())) == len(values)
+        assert all(pii.number_form(v, kind) == pii.number_form(n, kind) for v, n in new.items())
+    assert pii.permute_number("(71) 98888-0000", KEY, "phone").startswith("(71) 9")
+
+
+def test_key_is_configured_or_drawn(spark, monkeypatch):
+    drawn = queries.pseudonym_key(spark)
+    assert len(drawn) == 64 and drawn == queries.pseudonym_key(spark)
+    monkeypatch.setenv("RESMA_PSEUDONYM_KEY", "own")
+    assert queries.pseudonym_key(spark) == "own"
+
+
 def test_tags_of_many_values_differ():
     values = [f"n{i}" for i in range(300_000)]
     assert len({pii.redacted(v, [("name", 0, len(v))], b"key") for v in values}) == len(values)
@@ -424,3 +443,9 @@ def test_mix_keeps_buckets_even(spark, monkeypatch, budget):
             break
         want[i] = want.get(i, 0) + 1
     assert got == want
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="ab. ;!?\n1,_é", max_size=40))
+def test_items_of_a_text_are_those_of_its_sentences(text):
+    assert areas.items_of(text) == set().union(*map(areas.items_of, areas.sentences(text)))
