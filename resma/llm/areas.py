@@ -66,6 +66,23 @@ def items_of(sentence: str) -> set[str]:
     return found
 
 
+APART_WITHIN = re.compile(r"(?:[^\w \n]|[\d_])+|  +")
+
+
+def items_by_sentence(text: str) -> list[set[str]]:
+    """The items of each sentence of ``text``, which is parted as a whole."""
+    out = []
+    for sentence in APART_WITHIN.sub("|", SENTENCE_END.sub("\n", text.lower())).split("\n"):
+        found: set[str] = set()
+        for part in sentence.split("|"):
+            words = part.split()
+            found.update(words)
+            found.update(map(" ".join, zip(words, words[1:])))
+        if found:
+            out.append(found)
+    return out
+
+
 def lower_bound(k: float, n: float, z: float = STANDS_OUT) -> float:
     """The least share that k of n speak for at z standard errors (Wilson)."""
     if n <= 0:
@@ -185,7 +202,7 @@ def item_bags(sample: DataFrame, least: int = MIN_DOCUMENTS) -> tuple[DataFrame,
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = sent.value.get
         for batch in batches:
-            bags = [[sorted(n for i in items_of(s) if (n := of(i)) is not None) for s in sentences(t)] for t in batch.column(1).to_pylist()]
+            bags = [[sorted(n for i in items if (n := of(i)) is not None) for items in items_by_sentence(t)] for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, batch.column(2), pa.array(bags, pa.list_(pa.list_(pa.int32())))], names=["doc_id", "text", "areas", "given", "bags"])
 
     return cut(sample.select("doc_id", "text", "areas").mapInArrow(number, f"doc_id {kind}, text string, areas array<string>, given array<string>, bags array<array<int>>")), names
@@ -345,7 +362,8 @@ def mined_once(bags: DataFrame, names: list[str], least: int = MIN_DOCUMENTS, co
     n = held.count()
     rules = Rules()
     if n:
-        patterns = FPGrowth(itemsCol="items", minSupport=min(1.0, least / n)).fit(held).freqItemsets
+        patterns = FPGrowth(itemsCol="items", minSupport=min(1.0, least / n), numPartitions=max(1, held.sparkSession.sparkContext.defaultParallelism // 2)).fit(held).freqItemsets
+        # the sample is bounded, and every partition gets its own copy of the transactions it may grow from
         # a rule is a pattern with one class over the pattern without it: both meet under their words
         is_class = lambda x: x.startswith("=")
         classes, words = F.filter("items", is_class), F.array_sort(F.filter("items", lambda x: ~is_class(x)))
