@@ -244,3 +244,13 @@ def test_problems_against_sql(spark, data, name):
     names = [d[0] for d in got.description]
     assert sorted(names) == sorted(frame.columns)
     assert sorted(map(repr, (tuple(r) for r in frame.select(*names).collect()))) == sorted(map(repr, got.fetchall()))
+
+
+def test_command_line(spark, data, tmp_path, capsys):
+    from resma import cli
+
+    assert cli.main(["list"]) == 0 and "p2_found" in capsys.readouterr().out
+    assert cli.main(["run", "nothing", "--data", data]) == 2 and cli.main(["run"]) == 2
+    assert cli.main(["run", "agg_status", "--data", data, "--out", str(tmp_path / "o")], spark) == 0
+    assert spark.read.parquet(str(tmp_path / "o")).count() > 1
+    assert cli.main(["status", "--data", data], spark) == 0 and cli.main(["validate", "--data", data], spark) == 1
