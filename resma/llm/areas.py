@@ -17,6 +17,7 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
@@ -208,85 +209,152 @@ def item_bags(sample: DataFrame, least: int = MIN_DOCUMENTS) -> tuple[DataFrame,
     return cut(sample.select("doc_id", "text", "areas").mapInArrow(number, f"doc_id {kind}, text string, areas array<string>, given array<string>, bags array<array<int>>")), names
 
 
+def parted(bags: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The items of a column of bags one after another, where each sentence begins among them
+    (and the end), and where each document begins among the sentences (and the end). Numbers of
+    nested lists are costly as Python objects, so no step makes objects of them."""
+    inner = bags.flatten()
+    ends = lambda lists: np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(), dtype=np.int64)])
+    return inner.flatten().to_numpy(), ends(inner), ends(bags)
+
+
 def item_counts(bags: DataFrame) -> DataFrame:
     """(item, area, n): documents of the sample with the item (a number), by area; area '' counts all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, Counter[int]] = defaultdict(Counter)
         for batch in batches:
-            for bag, areas in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                items = set().union(*bag)
+            items, sentence_at, document_at = parted(batch.column(0))
+            at = sentence_at[document_at].tolist()
+            own: dict[str, list[np.ndarray]] = defaultdict(list)
+            for start, end, areas in zip(at, at[1:], batch.column(1).to_pylist()):
+                each = np.unique(items[start:end])
                 for a in ("", *areas):
-                    counts[a].update(items)
-        rows = [(i, a, n) for a, c in counts.items() for i, n in c.items()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * 3, (pa.int32(), pa.string(), pa.int64()))], names=["item", "area", "n"])
+                    own[a].append(each)
+            for a, found in own.items():
+                item, n = np.unique(np.concatenate(found), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(item, pa.int32()), pa.array([a] * len(item), pa.string()), pa.array(n, pa.int64())], names=["item", "area", "n"])
 
     return bags.select("bags", "areas").mapInArrow(run, "item int, area string, n long").groupBy("item", "area").agg(F.sum("n").alias("n"))
 
 
 def leaning_items(counts: DataFrame, names: list[str], least: int = MIN_DOCUMENTS, lean: float = MIN_LEAN) -> dict[int, tuple[str, float]]:
     """Items of the bounded sample that lean to an area: item to (area, smoothed share)."""
-    all_docs = counts.where(F.col("area") == "").select("item", F.col("n").alias("docs")).where(F.col("docs") >= least)
-    own = counts.where(~F.col("area").isin("", REST)).groupBy("item").agg(F.max(F.struct("n", "area")).alias("best"))
+    # one aggregate, so that the sample is counted once
+    best = F.max(F.when(~F.col("area").isin("", REST), F.struct("n", "area"))).alias("best")
+    per = counts.groupBy("item").agg(F.max(F.when(F.col("area") == "", F.col("n"))).alias("docs"), best).where((F.col("docs") >= least) & F.col("best").isNotNull())
     share = (F.col("best.n") + 0.5) / (F.col("docs") + 1)
-    rows = all_docs.join(own, "item").withColumn("share", share).where((F.col("share") >= lean) & (F.col("best.n") >= least)).select("item", "best.area", "share", "best.n", "docs").collect()
+    rows = per.withColumn("share", share).where((F.col("share") >= lean) & (F.col("best.n") >= least)).select("item", "best.area", "share", "best.n", "docs").collect()
     found = {r["item"]: (r["area"], r["share"]) for r in rows if lower_bound(r["n"], r["docs"]) >= lean}
     shares = {names[i]: v[1] for i, v in found.items()}
     # a pair that says no more than one of its words is redundant
     return {i: v for i, v in found.items() if " " not in names[i] or not any(shares.get(w, 0.0) >= v[1] - 0.02 for w in names[i].split(" "))}
 
 
-def foreign_items(bags: DataFrame, leaning: dict[int, tuple[str, float]], strong: float = 0.75, least: int = MIN_DOCUMENTS) -> dict[int, float]:
+class Named:
+    """Which sentences name areas by strong words, and which of them none of their document's."""
+
+    def __init__(self, leaning: dict[int, tuple[str, float]], strong: float, size: int) -> None:
+        self.areas = {a: k for k, a in enumerate(sorted({a for a, _ in leaning.values()}))}
+        #: by item: the number of the area that a strong word names, else -1
+        self.of = np.full(size, -1, np.int32)
+        for i, (area, share) in leaning.items():
+            if share >= strong:
+                self.of[i] = self.areas[area]
+
+    def sentences(self, items: np.ndarray, sentence: np.ndarray, document: np.ndarray, about: list[set[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """(named, foreign) by sentence; ``sentence`` is that of each item, ``document`` that of
+        each sentence, ``about`` the areas of each document."""
+        is_about = np.zeros((len(about), len(self.areas)), bool)
+        for d, areas in enumerate(about):
+            is_about[d, [self.areas[a] for a in areas if a in self.areas]] = True
+        area = self.of[items]
+        at = np.flatnonzero(area >= 0)
+        named, own = np.zeros(len(document), bool), np.zeros(len(document), bool)
+        named[sentence[at]] = True
+        own[sentence[at[is_about[document[sentence[at]], area[at]]]]] = True
+        return named, named & ~own
+
+
+def foreign_items(bags: DataFrame, leaning: dict[int, tuple[str, float]], size: int, strong: float = 0.75, least: int = MIN_DOCUMENTS) -> dict[int, float]:
     """Context items of sentences that name areas their document is not about, more than half of
     the time, with that share. Not about: neither by the areas it has now nor by those it was given,
-    so that what the rules missed once is not taken for foreign ever after."""
+    so that what the rules missed once is not taken for foreign ever after. ``size``: how many items
+    there are."""
+    names = Named(leaning, strong, size)
+    leans = np.zeros(size, bool)
+    leans[list(leaning)] = True
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[bool, Counter[int]] = {True: Counter(), False: Counter()}
         for batch in batches:
-            for bag, areas, given in zip(*(c.to_pylist() for c in batch.columns)):
-                areas = {*areas, *given}
-                seen: dict[bool, set[int]] = {True: set(), False: set()}
-                for items in bag:
-                    named = {leaning[i][0] for i in items if i in leaning and leaning[i][1] >= strong}
-                    if named:
-                        seen[named.isdisjoint(areas)].update(i for i in items if i not in leaning)
-                for f, items in seen.items():
-                    counts[f].update(items)
-        rows = [(i, f, n) for f, c in counts.items() for i, n in c.items()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * 3, (pa.int32(), pa.bool_(), pa.int64()))], names=["item", "is_foreign", "n"])
+            items, sentence_at, document_at = parted(batch.column(0))
+            sentence, document = (np.repeat(np.arange(len(x) - 1), np.diff(x)) for x in (sentence_at, document_at))
+            named, foreign = names.sentences(items, sentence, document, [{*a, *g} for a, g in zip(*(c.to_pylist() for c in batch.columns[1:]))])
+            for f, of in ((True, foreign), (False, named & ~foreign)):
+                at = np.flatnonzero(of[sentence] & ~leans[items])
+                # a document counts once to each of its items
+                each = np.unique(document[sentence[at]] * size + items[at]) % size
+                item, n = np.unique(each, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(item, pa.int32()), pa.array([f] * len(item), pa.bool_()), pa.array(n, pa.int64())], names=["item", "is_foreign", "n"])
 
     n = bags.select("bags", "areas", "given").mapInArrow(run, "item int, is_foreign boolean, n long")
     share = n.groupBy("item").agg(F.sum(F.when(F.col("is_foreign"), F.col("n")).otherwise(0)).alias("f"), F.sum("n").alias("n"))
     return {r["item"]: r["f"] / r["n"] for r in share.where((F.col("f") >= least) & (F.col("f") > 0.6 * F.col("n"))).collect()}
 
 
-def parts(items: list[int], size: int = PART) -> list[list[int]]:
+def parts(items: list, size: int = PART) -> list[list]:
     return [items[i : i + size] for i in range(0, len(items), size)]
 
 
-def transactions(bags: DataFrame, leaning: dict[int, tuple[str, float]], context: dict[int, float], strong: float = 0.75) -> DataFrame:
-    """(items): words that lean or context items of each sentence, with the classes =area, =foreign
-    or =own. The growth of patterns doubles with every item of a transaction, so sentences with
-    many are parted into transactions of PART items, the strongest together; none is left out."""
+class Ranked:
+    """The items of each sentence that are among ``order``, in that order."""
+
+    def __init__(self, order: list[int], size: int) -> None:
+        self.text = [str(i) for i in order]
+        self.rank = np.full(size, -1, np.int32)
+        self.rank[order] = np.arange(len(order))
+
+    def by_sentence(self, items: np.ndarray, sentence: np.ndarray, sentences: int) -> tuple[list[int], list[str]]:
+        """Where each sentence begins among the items (and the end), and the items."""
+        rank = self.rank[items]
+        at = np.flatnonzero(rank >= 0)
+        at = at[np.lexsort((rank[at], sentence[at]))]
+        ends = np.cumsum(np.bincount(sentence[at], minlength=sentences))
+        return [0, *ends.tolist()], [self.text[r] for r in rank[at].tolist()]
+
+
+def transactions(bags: DataFrame, leaning: dict[int, tuple[str, float]], context: dict[int, float], size: int, strong: float = 0.75) -> DataFrame:
+    """(items): words that lean or context items of each sentence, with the classes =area or
+    =foreign. The growth of patterns doubles with every item of a transaction, so sentences with
+    many are parted into transactions of PART items, the strongest together; none is left out.
+    ``size``: how many items there are."""
+    names = Named(leaning, strong, size)
+    lean = Ranked(sorted(leaning, key=lambda i: (-leaning[i][1], i)), size)
+    near = Ranked(sorted(context, key=lambda i: (-context[i], i)), size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            items, sentence_at, document_at = parted(batch.column(0))
+            sentence, document = (np.repeat(np.arange(len(x) - 1), np.diff(x)) for x in (sentence_at, document_at))
+            areas, given = (c.to_pylist() for c in batch.columns[1:])
+            foreign = names.sentences(items, sentence, document, [{*a, *g} for a, g in zip(areas, given)])[1].tolist()
+            lean_at, lean_items = lean.by_sentence(items, sentence, len(document))
+            near_at, near_items = near.by_sentence(items, sentence, len(document))
+            at, buffer = (sentence_at * items.itemsize).tolist(), items.tobytes()
             out: list[list[str]] = []
-            for bag, areas, given in zip(*(c.to_pylist() for c in batch.columns)):
-                told = ["=" + a for a in areas if a != REST]
-                about = {*areas, *given}
-                for items in map(list, {tuple(x) for x in bag}):  # a sentence that a document repeats counts once
-                    lean = sorted((i for i in items if i in leaning), key=lambda i: (-leaning[i][1], i))
-                    if not lean:
+            for start, end, own in zip(document_at.tolist(), document_at[1:].tolist(), areas):
+                told = ["=" + a for a in own if a != REST]
+                seen: set[bytes] = set()
+                for s in range(start, end):
+                    whole = buffer[at[s] : at[s + 1]]
+                    # a sentence that a document repeats counts once
+                    if lean_at[s] == lean_at[s + 1] or whole in seen:
                         continue
-                    near = sorted((i for i in items if i in context), key=lambda i: (-context[i], i))
-                    if near:
+                    seen.add(whole)
+                    if near_at[s] < near_at[s + 1]:
                         # words in a foreign context say nothing of the area
-                        named = {leaning[i][0] for i in lean if leaning[i][1] >= strong}
-                        out += [[*map(str, p), "=foreign" if named and named.isdisjoint(about) else "=own"] for p in parts(near)]
+                        out += [[*p, "=foreign"] if foreign[s] else p for p in parts(near_items[near_at[s] : near_at[s + 1]])]
                     else:
-                        out += [[*map(str, p), *told] for p in parts(lean)]
+                        out += [[*p, *told] for p in parts(lean_items[lean_at[s] : lean_at[s + 1]])]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.string()))], names=["items"])
 
     return bags.select("bags", "areas", "given").mapInArrow(run, "items array<string>")
@@ -345,7 +413,7 @@ def mine(sample: DataFrame, least: int = MIN_DOCUMENTS) -> Rules:
     for item, (area, share) in leaning.items():
         if share >= MIN_SURE:
             rules.areas[frozenset([names[item]])] = [(area, weight(min(share, 0.98)))]
-    rules.foreign = [frozenset([names[i]]) for i in foreign_items(bags, leaning, least=least)]
+    rules.foreign = [frozenset([names[i]]) for i in foreign_items(bags, leaning, len(names), least=least)]
     for _ in range(2):
         seen = evidenced(bags, rules)
         rules.steps, rules.probabilities = calibrate(seen)
@@ -357,8 +425,8 @@ def mine(sample: DataFrame, least: int = MIN_DOCUMENTS) -> Rules:
 def mined_once(bags: DataFrame, names: list[str], least: int = MIN_DOCUMENTS, confidence: float = MIN_CONFIDENCE) -> Rules:
     """Area and foreign rules of a sample with the areas it has now."""
     leaning = leaning_items(item_counts(bags), names, least)
-    context = foreign_items(bags, leaning, least=least)
-    held = cut(transactions(bags, leaning, context))
+    context = foreign_items(bags, leaning, len(names), least=least)
+    held = cut(transactions(bags, leaning, context, len(names)))
     n = held.count()
     rules = Rules()
     if n:
@@ -368,7 +436,7 @@ def mined_once(bags: DataFrame, names: list[str], least: int = MIN_DOCUMENTS, co
         is_class = lambda x: x.startswith("=")
         classes, words = F.filter("items", is_class), F.array_sort(F.filter("items", lambda x: ~is_class(x)))
         met = patterns.where((F.size(classes) <= 1) & (F.size(words) > 0)).select(words.alias("words"), F.coalesce(F.get(classes, F.lit(0)), F.lit("")).alias("told"), "freq")
-        per = met.groupBy("words").agg(F.max(F.when(F.col("told") == "", F.col("freq"))).alias("n"), F.collect_list(F.when(~F.col("told").isin("", "=own"), F.struct("told", "freq"))).alias("told"))
+        per = met.groupBy("words").agg(F.max(F.when(F.col("told") == "", F.col("freq"))).alias("n"), F.collect_list(F.when(F.col("told") != "", F.struct("told", "freq"))).alias("told"))
         rows = per.select("words", "n", F.explode("told").alias("t")).where(F.col("t.freq") >= confidence * F.col("n")).select("words", "n", "t.told", "t.freq").collect()
         found = [(frozenset(names[int(i)] for i in r["words"]), r["told"][1:], (r["freq"] + 0.5) / (r["n"] + 1)) for r in rows]
         for k, c, p in prune(found):

@@ -450,3 +450,64 @@ def test_mix_keeps_buckets_even(spark, monkeypatch, budget):
 def test_items_of_a_text_are_those_of_its_sentences(text):
     each = [x for x in map(areas.items_of, areas.sentences(text)) if x]
     assert areas.items_of(text) == set().union(*each) and areas.items_by_sentence(text) == each
+
+
+def _bags(spark):
+    rnd = random.Random(8)
+    rows = [(0, ["x"], ["x"], []), (1, ["y"], ["x"], [[]])]
+    for i in range(2, 60):
+        bag = [sorted(rnd.sample(range(29), rnd.randint(0, 12))) for _ in range(rnd.randint(1, 6))]
+        rows.append((i, rnd.sample(["x", "y", "z", areas.REST], rnd.randint(1, 3)), rnd.sample(["x", "y", "z"], rnd.randint(0, 2)), [*bag, *bag[:1]]))
+    # word 13 leans to y, 29 stands beside it where the document is not about y
+    rows += [(i, ["x"], ["z"], [[13, 22, 29], [29]]) for i in range(60, 66)] + [(66, ["x"], ["y"], [[13, 29]])]
+    return rows, spark.createDataFrame(rows, "doc_id long, areas array<string>, given array<string>, bags array<array<int>>").repartition(3)
+
+
+def test_sample_of_areas_is_counted_once(spark):
+    """The counts of all documents and of each area come from one reading of the sample."""
+    rows, bags = _bags(spark)
+    read, names = spark.sparkContext.accumulator(0), [f"w{i}" for i in range(30)]
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    counts = areas.item_counts(bags.mapInArrow(counted, bags.schema))
+    got = areas.leaning_items(counts, names, least=2, lean=0.1)
+    assert read.value == len(rows)
+    docs = {i: [r for r in rows if any(i in s for s in r[3])] for i in range(30)}
+    want = {}
+    for i, own in docs.items():
+        n, area = max((sum(a in r[1] for r in own), a) for a in ("x", "y", "z"))
+        if n >= 2 and areas.lower_bound(n, len(own)) >= 0.1:
+            want[i] = (area, (n + 0.5) / (len(own) + 1))
+    assert want and got == want
+
+
+def test_contexts_and_transactions_of_areas(spark):
+    """Counting on flat numbers gives what a walk over each sentence gives."""
+    rows, bags = _bags(spark)
+    leaning = {i: ("xyz"[i % 3], 0.6 + i / 40) for i in range(14)}
+    f, n, want = Counter(), Counter(), Counter()
+    context = {20: 0.9, 21: 0.8, 22: 0.9}
+    for _, own, labelled, bag in rows:
+        about, seen = {*own, *labelled}, {True: set(), False: set()}
+        for s in bag:
+            named = {leaning[i][0] for i in s if i in leaning and leaning[i][1] >= 0.75}
+            if named:
+                seen[named.isdisjoint(about)].update(i for i in s if i not in leaning)
+        f.update(seen[True])
+        n.update([*seen[True], *seen[False]])
+        for s in {tuple(s) for s in bag}:
+            lean = sorted((i for i in s if i in leaning), key=lambda i: -leaning[i][1])
+            near = sorted((i for i in s if i in context), key=lambda i: (-context[i], i))
+            named = {leaning[i][0] for i in lean if leaning[i][1] >= 0.75}
+            told = (["=foreign"] if named and named.isdisjoint(about) else []) if near else ["=" + a for a in own if a != areas.REST]
+            for k in range(0, len(near or lean) if lean else 0, areas.PART):
+                want[(*map(str, (near or lean)[k : k + areas.PART]), *told)] += 1
+    share = {i: f[i] / n[i] for i in n if f[i] >= 2 and f[i] > 0.6 * n[i]}
+    assert share[29] == 6 / 7 and areas.foreign_items(bags, leaning, 30, least=2) == share
+    got = Counter(tuple(r["items"]) for r in areas.transactions(bags, leaning, context, 30).collect())
+    assert want and got == want
+    assert not areas.transactions(bags, {}, {}, 30).count() and not areas.foreign_items(bags, {}, 30)
